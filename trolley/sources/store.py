@@ -41,8 +41,17 @@ class Store:
         self.root = f"{scratch_root(spark)}/{self.tag}"
 
     def put(self, df: DataFrame, name: str) -> DataFrame:
-        path = f"{self.root}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        path = f"{self.root}/{name}_{uuid.uuid4().hex[:8]}"
+        df.write.parquet(path)
+        return self.spark.read.parquet(path)
+
+    def put_partitioned(
+        self, df: DataFrame, name: str, columns: Sequence[str]
+    ) -> DataFrame:
+        """Write one folder per value of ``columns``, so that a filter on them
+        reads only its folders."""
+        path = f"{self.root}/{name}_{uuid.uuid4().hex[:8]}"
+        df.write.partitionBy(*columns).parquet(path)
         return self.spark.read.parquet(path)
 
     def put_bucketed(
@@ -55,12 +64,11 @@ class Store:
     ) -> DataFrame:
         """Write hash-bucketed on ``keys``: later joins and groupings on them
         read co-located buckets instead of shuffling."""
-        table = f"{self.tag}_{name}"
+        table = f"{self.tag}_{name}_{uuid.uuid4().hex[:8]}"
         writer = (
             df.repartition(buckets, *[F.col(k) for k in keys])
-            .write.mode("overwrite")
-            .format("parquet")
-            .option("path", f"{self.root}/{name}")
+            .write.format("parquet")
+            .option("path", f"{self.root}/{table}")
             .bucketBy(buckets, *keys)
             .sortBy(*keys)
         )
