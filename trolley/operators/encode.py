@@ -8,25 +8,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .ranking import position_in_group
+from .ranking import position_in_group, range_blocks
 
 INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 VALUES_PER_BLOCK = 1 << 16
 
 
-def label_codes(df: DataFrame, column: str) -> DataFrame:
+def label_codes(df: DataFrame, column: str, store) -> DataFrame:
     """(column, code): the distinct values of ``column``, numbered 0..k-1 in
     ascending order. Numbers order as numbers, strings by code point.
 
-    Numbered in blocks: 65,536 consecutive integers, or strings sharing their
-    first two characters. Integers of 32 bits thus never put more than 65,536
-    values or block totals into one task.
+    Numbered in blocks, each 65,536 consecutive integers or, for other types,
+    one even range of the sorted values.
     """
     values = df.filter(F.col(column).isNotNull()).select(column).distinct()
     if isinstance(df.schema[column].dataType, INTEGERS):
         block = F.floor(F.col(column) / F.lit(VALUES_PER_BLOCK))
     else:
-        block = F.substring(F.col(column).cast("string"), 1, 2)
+        values, block = range_blocks(values, [column], store), F.col("_block")
     placed = position_in_group(
         values, [], [column], {"_block": block}, position="_position"
     )
@@ -37,7 +36,7 @@ def encode_labels(df: DataFrame, columns: Sequence[str], store) -> DataFrame:
     """Replaces each column by its code; NULL stays NULL. The code tables are
     stored first so that the join strategy follows from their actual size."""
     for column in columns:
-        codes = store.put(label_codes(df, column), f"codes_{column}")
+        codes = store.put(label_codes(df, column, store), f"codes_{column}")
         df = (
             df.join(codes, column, "left").drop(column).withColumnRenamed("code", column)
         )

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.stats import Stat, named_stat
+from .ranking import group_quantiles
 
 
 def _require_list(**named: object) -> None:
@@ -16,6 +17,31 @@ def _require_list(**named: object) -> None:
             raise TypeError(f"{name} must be a list, got {type(value).__name__}")
 
 
+def _aggregate(
+    df: DataFrame, keys: list[str], wanted: list[tuple[str, str, Stat]]
+) -> DataFrame:
+    """``wanted`` is (column, statistic name, statistic). Rows with a missing
+    key belong to no group.
+
+    Medians are joined from :func:`group_quantiles`; the built-in median would
+    hold all values of a group in one task.
+    """
+    known = df.dropna(subset=keys)
+    plain = [
+        named_stat(stat)(F.col(column)).alias(new)
+        for column, new, stat in wanted
+        if stat != "median"
+    ]
+    grouped = known.groupBy(*keys).agg(*plain) if plain else known.select(*keys).distinct()
+    for column, new, stat in wanted:
+        if stat == "median":
+            middle = group_quantiles(known, keys, column, [0.5]).select(
+                *keys, F.col("quantiles")[0].alias(new)
+            )
+            grouped = grouped.join(middle, keys, "left")
+    return grouped.select(*keys, *[new for _, new, _ in wanted])
+
+
 def group_stats_multi(
     df: DataFrame,
     keys: list[str],
@@ -28,13 +54,10 @@ def group_stats_multi(
     the statistics are joined back onto every row of ``df``.
     """
     _require_list(keys=keys)
-    grouped = df.groupBy(*keys).agg(
-        *[
-            named_stat(stat)(F.col(column)).alias(new)
-            for column, wanted in stats.items()
-            for new, stat in wanted.items()
-        ]
-    )
+    wanted = [
+        (column, new, stat) for column, named in stats.items() for new, stat in named.items()
+    ]
+    grouped = _aggregate(df, keys, wanted)
     return grouped if only_new else _join_back(df, grouped, keys)
 
 
@@ -50,14 +73,11 @@ def group_stats_single(
     _require_list(keys=keys, target=target, methods=methods)
     column = "".join(target)
     prefix = "".join(keys)
-    grouped = df.groupBy(*keys).agg(
-        *[
-            named_stat(m)(F.col(column)).alias(
-                f"_{prefix}_{m if isinstance(m, str) else m.__name__}_by_{column}"
-            )
-            for m in methods
-        ]
-    )
+    wanted = []
+    for m in methods:
+        label = m if isinstance(m, str) else m.__name__
+        wanted.append((column, f"_{prefix}_{label}_by_{column}", m))
+    grouped = _aggregate(df, keys, wanted)
     return grouped if keep_only_stats else _join_back(df, grouped, keys)
 
 
@@ -75,33 +95,15 @@ def group_box_stats(
     ascending: bool = True,
 ) -> DataFrame:
     """Five-number summary and mean of ``column`` per group, groups sorted by
-    ``target`` ('median' or 'mean'). NULL groups and values are skipped.
-
-    Values are counted per (group, value) first, so what reaches a group is its
-    distinct values, not its rows.
-    """
+    ``target`` ('median' or 'mean'). NULL groups and values are skipped."""
     if target not in ("median", "mean"):
         raise ValueError("target must be 'median' or 'mean'")
-    counted = (
-        df.filter(F.col(by).isNotNull() & F.col(column).isNotNull())
-        .groupBy(by, F.col(column).cast("double").alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    quartile = F.percentile("_v", [0.0, 0.25, 0.5, 0.75, 1.0], F.col("_n")).alias("_q")
-    named = ["min", "q1", "median", "q3", "max"]
+    cuts = {"min": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "max": 1.0}
+    found = group_quantiles(df.dropna(subset=[by]), [by], column, list(cuts.values()))
     order = F.asc(target) if ascending else F.desc(target)
-    return (
-        counted.groupBy(by)
-        .agg(
-            quartile,
-            F.sum("_n").alias("count"),
-            F.sum(F.col("_v") * F.col("_n")).alias("_sum"),
-        )
-        .select(
-            by,
-            "count",
-            *[F.col("_q")[i].alias(name) for i, name in enumerate(named)],
-            (F.col("_sum") / F.col("count")).alias("mean"),
-        )
-        .orderBy(order, by)
-    )
+    return found.select(
+        by,
+        "count",
+        *[F.col("quantiles")[i].alias(name) for i, name in enumerate(cuts)],
+        "mean",
+    ).orderBy(order, by)

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import combinations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .joins import Tables
+
 
 def label_fill(matrix: DataFrame, label: str = "reordered") -> DataFrame:
     """Missing label -> 0."""
@@ -48,10 +51,20 @@ def split_rows(
     return df.filter(~held), df.filter(held)
 
 
-def eval_set_disjoint(orders: DataFrame) -> DataFrame:
-    """Order ids found in more than one eval set; none in sound data."""
-    return (
-        orders.groupBy("order_id")
-        .agg(F.count_distinct("eval_set").alias("n_sets"))
-        .filter(F.col("n_sets") > 1)
+def eval_set_disjoint(tables: Tables) -> DataFrame:
+    """One row: how many order ids two of the sets (prior lines, train lines,
+    test orders) share. All are 0 in sound data."""
+    names = ["prior", "train", "test"]
+    test = tables["orders"].filter(F.col("eval_set") == "test")
+    tagged = None
+    for name, frame in zip(names, [tables["prior"], tables["train"], test]):
+        ids = frame.select("order_id", *[F.lit(n == name).alias(n) for n in names])
+        tagged = ids if tagged is None else tagged.unionByName(ids)
+    found = tagged.groupBy("order_id").agg(*[F.bool_or(n).alias(n) for n in names])
+    return found.agg(
+        F.count(F.lit(1)).alias("n_orders"),
+        *[
+            F.count_if(F.col(a) & F.col(b)).alias(f"{a}_{b}")
+            for a, b in combinations(names, 2)
+        ],
     )

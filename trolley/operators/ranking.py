@@ -7,15 +7,19 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..sources.store import Store
 
 ORDERS_PER_BLOCK = 1 << 20
+VALUES_PER_GROUP = 1 << 20
 
 
 def position_in_group(
     df: DataFrame,
     keys: Sequence[str],
     order_by: Sequence[str],
-    blocks: Mapping[str, Column],
+    blocks: Mapping[str, Column] | None = None,
     *,
     descending: bool = False,
     position: str = "position",
@@ -24,8 +28,11 @@ def position_in_group(
 ) -> DataFrame:
     """1-based position of each row within ``keys`` in ``order_by`` order.
 
+    Without ``blocks`` this is a window over each key: one shuffle, one sort.
+    That is right where a key's rows are known to fit one task.
+
     ``blocks`` are columns that are non-decreasing along ``order_by``. Rows are
-    numbered inside (keys, block), and the row counts of earlier blocks, a
+    then numbered inside (keys, block), and the row counts of earlier blocks, a
     pre-aggregated table, are added. A key holding a third of all rows is
     thereby spread over its blocks; the largest sort is one block.
 
@@ -36,6 +43,16 @@ def position_in_group(
     Keys must not be NULL and ``order_by`` must be unique within a key.
     """
     direction = F.desc if descending else F.asc
+    along = [direction(c) for c in order_by]
+    if not blocks:
+        group = Window.partitionBy(*keys)
+        added = {position: F.row_number().over(group.orderBy(*along)).cast("bigint")}
+        if size:
+            added[size] = F.count(F.lit(1)).over(group)
+        if previous:
+            added[previous[1]] = F.lag(previous[0]).over(group.orderBy(*along))
+        return df.withColumns(added)
+
     block = list(blocks)
     cell = [*keys, *block]
     rows = df.withColumns(dict(blocks))
@@ -45,19 +62,14 @@ def position_in_group(
     if previous:
         counted.append(F.max(previous[0]).alias("_last"))
     totals = rows.groupBy(*cell).agg(*counted)
-    derived = {
-        "_before": F.coalesce(
-            F.sum("_rows").over(across.rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0),
-        )
-    }
+    derived = {"_before": _sum_before("_rows", across)}
     if size:
         derived[size] = F.sum("_rows").over(Window.partitionBy(*keys))
     if previous:
         derived["_carried"] = F.lag("_last").over(across)
     totals = totals.withColumns(derived).drop("_rows", "_last")
 
-    inside = Window.partitionBy(*cell).orderBy(*[direction(c) for c in order_by])
+    inside = Window.partitionBy(*cell).orderBy(*along)
     local = {"_local": F.row_number().over(inside)}
     if previous:
         local["_lagged"] = F.lag(previous[0]).over(inside)
@@ -73,9 +85,101 @@ def position_in_group(
     )
 
 
-def order_blocks(column: str = "order_number", width: int = ORDERS_PER_BLOCK):
-    """Blocks for a column numbering a user's orders 1, 2, 3, ..."""
-    return {"_block": F.floor(F.col(column) / F.lit(width))}
+def _sum_before(column: str, along) -> Column:
+    """Sum over the rows ahead of this one; 0 for the first."""
+    ahead = along.rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(column).over(ahead), F.lit(0))
+
+
+def order_blocks(orders: DataFrame, width: int = ORDERS_PER_BLOCK) -> dict[str, Column]:
+    """Blocks of ``width`` order numbers; none needed while no user has that
+    many orders."""
+    greatest = orders.agg(F.max("order_number")).first()[0]
+    if greatest is None or greatest < width:
+        return {}
+    return {"_block": F.floor(F.col("order_number") / F.lit(width))}
+
+
+def range_blocks(df: DataFrame, order_by: Sequence[str], store) -> DataFrame:
+    """``df`` with ``_block``, the range partition of each row by ``order_by``.
+
+    Rows distinct in ``order_by`` split into even ranges however they are
+    skewed. The numbers are stored, hence the same for every later reader.
+    """
+    # a stated number of partitions is kept as it is by adaptive execution
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(parts, *[F.col(c) for c in order_by])
+    return store.put(ranged.withColumn("_block", F.spark_partition_id()), "ranged")
+
+
+def _few_values(
+    df: DataFrame, counted: DataFrame, keys: Sequence[str], column: str, most: int
+) -> bool:
+    """Whether no group has more than ``most`` distinct values: certain for an
+    integer column of a narrow range, counted otherwise."""
+    if isinstance(df.schema[column].dataType, T.IntegralType):
+        low, high = df.agg(F.min(column), F.max(column)).first()
+        if low is None or high - low < most:
+            return True
+    sizes = counted.groupBy(*keys).agg(F.count(F.lit(1)).alias("_values"))
+    return sizes.filter(F.col("_values") > most).isEmpty()
+
+
+def group_quantiles(
+    df: DataFrame,
+    keys: Sequence[str],
+    column: str,
+    probs: Sequence[float],
+    largest_group: int = VALUES_PER_GROUP,
+) -> DataFrame:
+    """Exact quantiles per group, interpolated linearly: ``keys``, ``count``,
+    ``mean`` and the array ``quantiles``. NULL values are skipped.
+
+    Values are counted per (group, value) first. Groups of up to
+    ``largest_group`` distinct values then aggregate in one task each; where a
+    group has more, the counted values are cut into even ranges, and the
+    wanted order statistics are found from running totals over the ranges.
+    """
+    counted = (
+        df.filter(F.col(column).isNotNull())
+        .groupBy(*keys, F.col(column).cast("double").alias("_v"))
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+    mean = (F.sum(F.col("_v") * F.col("_n")) / F.sum("_n")).alias("mean")
+    if _few_values(df, counted, keys, column, largest_group):
+        return counted.groupBy(*keys).agg(
+            F.sum("_n").alias("count"),
+            mean,
+            F.percentile("_v", list(probs), F.col("_n")).alias("quantiles"),
+        )
+
+    ranged = range_blocks(counted, [*keys, "_v"], Store(df.sparkSession))
+    totals = ranged.groupBy(*keys, "_block").agg(F.sum("_n").alias("_in_block"))
+    across = Window.partitionBy(*keys).orderBy("_block")
+    totals = totals.withColumn("_ahead", _sum_before("_in_block", across))
+    inside = Window.partitionBy(*keys, "_block").orderBy("_v")
+    from_rank = F.col("_ahead") + F.col("_within")
+    runs = (
+        ranged.withColumn("_within", _sum_before("_n", inside))
+        .join(totals.drop("_in_block"), [*keys, "_block"])
+        .select(*keys, "_v", "_n", from_rank.alias("_from"))
+    )
+    overall = counted.groupBy(*keys).agg(F.sum("_n").alias("count"), mean)
+    ranks = [(F.col("count") - 1) * F.lit(float(p)) for p in probs]
+    # the value at 0-based rank r is the run with _from <= r < _from + _n
+    reached = runs.join(overall, list(keys))
+    found = []
+    for i, rank in enumerate(ranks):
+        for side, at in (("lo", F.floor(rank)), ("hi", F.ceil(rank))):
+            holds = (F.col("_from") <= at) & (at < F.col("_from") + F.col("_n"))
+            found.append(F.max(F.when(holds, F.col("_v"))).alias(f"_{side}{i}"))
+    picked = reached.groupBy(*keys, "count", "mean").agg(*found)
+    values = [
+        F.col(f"_lo{i}")
+        + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (rank - F.floor(rank))
+        for i, rank in enumerate(ranks)
+    ]
+    return picked.select(*keys, "count", "mean", F.array(*values).alias("quantiles"))
 
 
 def top_n(

@@ -346,24 +346,27 @@ def orders_reorder_mean(tables: Tables, after: int = 2) -> DataFrame:
     return means.join(later, "order_id", "right")
 
 
-def always_reorder_users(tables: Tables) -> DataFrame:
-    """Users whose every later prior order holds reordered products only. An
-    order without lines counts in the denominator."""
+def always_reorder_users(tables: Tables, at_least: float = 1.0) -> DataFrame:
+    """Users whose later prior orders hold reordered products only, in at
+    least the given share of those orders. An order without lines counts in
+    the denominator."""
     prior = orders_reorder_mean(tables).filter(F.col("eval_set") == "prior")
     return (
         prior.groupBy("user_id")
         .agg(F.count_if(F.col("m") == 1).alias("n_equal"), _count("_orders"))
         .withColumn("percent_equal", ratio("n_equal", "_orders"))
-        .filter(F.col("percent_equal") == 1)
+        .filter(F.col("percent_equal") >= at_least)
         .select("user_id", "n_equal", "percent_equal")
         .orderBy(F.desc("n_equal"), "user_id")
     )
 
 
-def strongest_habit(tables: Tables, eval_set: str | None = None) -> DataFrame:
-    """The user with the most always-reordered orders; with ``eval_set``, among
+def strongest_habit(
+    tables: Tables, eval_set: str | None = None, at_least: float = 1.0
+) -> DataFrame:
+    """The user with the most reorder-only orders; with ``eval_set``, among
     users whose last order is in that set."""
-    users = always_reorder_users(tables)
+    users = always_reorder_users(tables, at_least)
     if eval_set:
         ends = tables["orders"].filter(F.col("eval_set") == eval_set)
         users = users.join(ends, "user_id", "left_semi")
@@ -379,7 +382,7 @@ def habit_user_lines(tables: Tables, users: DataFrame | None = None) -> DataFram
 
 
 def train_order_of_user(tables: Tables, users: DataFrame | None = None) -> DataFrame:
-    users = strongest_habit(tables, "train") if users is None else users
+    users = strongest_habit(tables, eval_set="train") if users is None else users
     train = tables["orders"].filter(F.col("eval_set") == "train")
     return train.join(users, "user_id", "left_semi")
 

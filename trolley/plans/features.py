@@ -15,10 +15,10 @@ from .. import schema
 from ..functions.columns import ratio
 from ..operators.encode import encode_labels
 from ..operators.joins import Tables, label_join, prior_detail
-from ..operators.ranking import order_blocks, position_in_group
+from ..operators.ranking import ORDERS_PER_BLOCK, order_blocks, position_in_group
 
 
-def purchase_ordinal(tables: Tables, blocks=None) -> DataFrame:
+def purchase_ordinal(tables: Tables, width: int = ORDERS_PER_BLOCK) -> DataFrame:
     """Prior lines with ``_user_buy_product_times``: the how-manieth purchase
     of this product by this user, in order_number order."""
     detail = prior_detail(tables).select(
@@ -28,12 +28,12 @@ def purchase_ordinal(tables: Tables, blocks=None) -> DataFrame:
         detail,
         schema.PAIR_KEYS,
         ["order_number"],
-        blocks or order_blocks(),
+        order_blocks(tables["orders"], width),
         position="_user_buy_product_times",
     )
 
 
-def order_streaks(tables: Tables, blocks=None) -> DataFrame:
+def order_streaks(tables: Tables, width: int = ORDERS_PER_BLOCK) -> DataFrame:
     """Length of the unbroken run of a user's most recent prior orders that
     contain the product; 0 when the last prior order lacks it."""
     bought = prior_detail(tables).select("user_id", "product_id", "order_number")
@@ -41,7 +41,7 @@ def order_streaks(tables: Tables, blocks=None) -> DataFrame:
         bought,
         schema.PAIR_KEYS,
         ["order_number"],
-        blocks or order_blocks(),
+        order_blocks(tables["orders"], width),
         descending=True,
         position="_back",
     )

@@ -32,6 +32,9 @@ from .workspace import Workspace, workspace
 Query = Callable[[SparkSession, str], DataFrame]
 LIMIT = learn.THRESHOLD
 DIGITS = 9
+# Few users of the derived tables reorder only, so the habit queries also run
+# at a share of reorder-only orders that some users reach.
+LENIENT = 0.25
 # Rounds of boosting in the registered model queries, where the result is
 # checked for its form only; the operators default to the full settings.
 QUICK = {"maxIter": 10}
@@ -91,9 +94,6 @@ for _report in (
     explore.distinct_counts,
     explore.orders_reorder_mean,
     explore.always_reorder_users,
-    explore.habit_user_lines,
-    explore.train_order_of_user,
-    explore.habit_user_train,
     features.purchase_ordinal,
     joins.prior_detail,
     joins.train_with_user,
@@ -159,10 +159,34 @@ def order_prior_sorted(ws):
     return joins.prior_detail(ws.tables).orderBy("user_id", "order_id")
 
 
+@_query
+def mostly_reorder_users(ws):
+    return explore.always_reorder_users(ws.tables, LENIENT)
+
+
+def _habit_user(ws, eval_set=None):
+    return explore.strongest_habit(ws.tables, eval_set, LENIENT)
+
+
+@_query
+def habit_user_lines(ws):
+    return explore.habit_user_lines(ws.tables, _habit_user(ws))
+
+
 @_query
 def orders_of_user(ws):
-    users = explore.strongest_habit(ws.tables)
-    return joins.orders_of_user(ws.tables, users)
+    return joins.orders_of_user(ws.tables, _habit_user(ws))
+
+
+@_query
+def train_order_of_user(ws):
+    return explore.train_order_of_user(ws.tables, _habit_user(ws, "train"))
+
+
+@_query
+def habit_user_train(ws):
+    users = explore.always_reorder_users(ws.tables, LENIENT)
+    return explore.habit_user_train(ws.tables, users)
 
 
 @_query
@@ -188,7 +212,7 @@ def label_join(ws):
 
 @_query
 def eval_set_disjoint(ws):
-    return matrix_ops.eval_set_disjoint(ws.tables["orders"])
+    return matrix_ops.eval_set_disjoint(ws.tables)
 
 
 @_query

@@ -166,15 +166,14 @@ order_mean AS (
          o.order_hour_of_day, o.days_since_prior_order
   FROM (SELECT order_id, avg(reordered) AS m, count(*) AS n FROM f_prior GROUP BY order_id) m
   RIGHT JOIN (SELECT * FROM f_orders WHERE order_number > 2) o ON o.order_id = m.order_id),
-always AS (
-  SELECT * FROM (
-    SELECT user_id, CAST(sum(CASE WHEN m = 1 THEN 1 ELSE 0 END) AS BIGINT) AS n_equal,
-           sum(CASE WHEN m = 1 THEN 1 ELSE 0 END) / count(*) AS percent_equal
-    FROM order_mean WHERE eval_set = 'prior' GROUP BY user_id) a
-  WHERE percent_equal = 1),
-habit AS (SELECT user_id FROM always ORDER BY n_equal DESC, user_id LIMIT 1),
+shares AS (
+  SELECT user_id, CAST(sum(CASE WHEN m = 1 THEN 1 ELSE 0 END) AS BIGINT) AS n_equal,
+         sum(CASE WHEN m = 1 THEN 1 ELSE 0 END) / count(*) AS percent_equal
+  FROM order_mean WHERE eval_set = 'prior' GROUP BY user_id),
+mostly AS (SELECT * FROM shares WHERE percent_equal >= CAST(0.25 AS DOUBLE)),
+habit AS (SELECT user_id FROM mostly ORDER BY n_equal DESC, user_id LIMIT 1),
 habit_train AS (
-  SELECT user_id FROM always
+  SELECT user_id FROM mostly
   WHERE user_id IN (SELECT user_id FROM f_orders WHERE eval_set = 'train')
   ORDER BY n_equal DESC, user_id LIMIT 1)
 """
@@ -371,7 +370,11 @@ JOIN f_aisles a ON a.aisle_id = f.aisle_id JOIN f_departments d ON d.department_
 -- lines_with_orders
 SELECT t.*, o.* EXCLUDE (order_id) FROM f_train t LEFT JOIN f_orders o ON o.order_id = t.order_id
 -- eval_set_disjoint
-SELECT order_id, count(DISTINCT eval_set) AS n_sets FROM f_orders GROUP BY order_id HAVING count(DISTINCT eval_set) > 1
+SELECT (SELECT count(*) FROM (SELECT order_id FROM f_prior UNION SELECT order_id FROM f_train
+                             UNION SELECT order_id FROM f_sample) u) AS n_orders,
+       (SELECT count(*) FROM (SELECT order_id FROM f_prior INTERSECT SELECT order_id FROM f_train) a) AS prior_train,
+       (SELECT count(*) FROM (SELECT order_id FROM f_prior INTERSECT SELECT order_id FROM f_sample) b) AS prior_test,
+       (SELECT count(*) FROM (SELECT order_id FROM f_train INTERSECT SELECT order_id FROM f_sample) c) AS train_test
 -- order_streak
 SELECT * FROM f_streak
 -- group_stats_multi_joined
@@ -414,7 +417,9 @@ _add(
 -- orders_reorder_mean
 SELECT * FROM order_mean
 -- always_reorder_users
-SELECT * FROM always
+SELECT * FROM shares WHERE percent_equal = 1
+-- mostly_reorder_users
+SELECT * FROM mostly
 -- habit_user_lines
 SELECT p.*, f.product_name FROM f_prior p LEFT JOIN f_products f ON f.product_id = p.product_id
 WHERE p.order_id IN (SELECT order_id FROM order_mean WHERE user_id IN (SELECT user_id FROM habit))
@@ -425,7 +430,7 @@ SELECT * FROM f_orders WHERE eval_set = 'train' AND user_id IN (SELECT user_id F
 -- habit_user_train
 SELECT t.*, f.product_name FROM f_train t LEFT JOIN f_products f ON f.product_id = t.product_id
 WHERE t.order_id IN (SELECT order_id FROM f_orders
-                     WHERE eval_set = 'train' AND user_id IN (SELECT user_id FROM habit_train))
+                     WHERE eval_set = 'train' AND user_id IN (SELECT user_id FROM mostly))
 """,
     HABIT,
 )

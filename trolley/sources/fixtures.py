@@ -41,9 +41,8 @@ def numbered_orders(
         .filter(F.col("_n") > hot)
         .select("user_id", F.lit(True).alias("_hot"))
     )
-    blocks = {"_d": F.lit(0), "_k": F.lit(0)}
-    # heavy customers number at most total / hot; usually there are none and
-    # the plan below stays a plain per-customer window
+    blocks = {}
+    # heavy customers number at most total / hot; usually there are none
     if not heavy.isEmpty():
         source = source.join(heavy, "user_id", "left")
         blocks = {
@@ -75,8 +74,12 @@ def numbered_orders(
     )
 
 
-def order_lines(lineitem: DataFrame, orders: DataFrame, catalogue: int = 100) -> DataFrame:
+def order_lines(
+    lineitem: DataFrame, orders: DataFrame, store: Store, catalogue: int = 100
+) -> DataFrame:
     """One line per (order, product) with cart position and reorder flag."""
+    # an order holds at most `catalogue` lines, so this window is bounded
+    cart = Window.partitionBy("order_id").orderBy("_ln", "product_id")
     lines = (
         lineitem.groupBy(
             F.col("l_orderkey").alias("order_id"),
@@ -84,22 +87,20 @@ def order_lines(lineitem: DataFrame, orders: DataFrame, catalogue: int = 100) ->
         )
         .agg(F.min("l_linenumber").alias("_ln"))
         .join(orders.select("order_id", "user_id", "order_number", "eval_set"), "order_id")
+        .withColumn("add_to_cart_order", F.row_number().over(cart))
+        .drop("_ln")
     )
-    # an order holds at most `catalogue` lines, so this window is bounded
-    cart = Window.partitionBy("order_id").orderBy("_ln", "product_id")
+    # read twice below
+    lines = store.put(lines, "positioned_lines")
     first_bought = lines.groupBy("user_id", "product_id").agg(
         F.min("order_number").alias("_first")
     )
-    return (
-        lines.withColumn("add_to_cart_order", F.row_number().over(cart))
-        .join(first_bought, ["user_id", "product_id"])
-        .select(
-            "order_id",
-            "product_id",
-            "add_to_cart_order",
-            (F.col("_first") < F.col("order_number")).cast("int").alias("reordered"),
-            "eval_set",
-        )
+    return lines.join(first_bought, ["user_id", "product_id"]).select(
+        "order_id",
+        "product_id",
+        "add_to_cart_order",
+        (F.col("_first") < F.col("order_number")).cast("int").alias("reordered"),
+        "eval_set",
     )
 
 
@@ -138,7 +139,7 @@ def basket_tables(spark: SparkSession, sf_dir: str, store: Store) -> dict[str, D
         numbered_orders(_read(spark, sf_dir, "orders")), "orders", by_order, buckets
     )
     lines = store.put_bucketed(
-        order_lines(lineitem, orders), "lines", by_order, buckets, ["eval_set"]
+        order_lines(lineitem, orders, store), "lines", by_order, buckets, ["eval_set"]
     )
     tables = {
         name: store.put(frame, name)

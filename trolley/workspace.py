@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import cached_property
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -89,10 +90,12 @@ class Workspace:
 
 
 _open: dict[tuple[str, str], Workspace] = {}
+_opening = Lock()
 
 
 def workspace(spark: SparkSession, sf_dir: str) -> Workspace:
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    if key not in _open:
-        _open[key] = Workspace(spark, sf_dir)
-    return _open[key]
+    with _opening:
+        if key not in _open:
+            _open[key] = Workspace(spark, sf_dir)
+        return _open[key]
