@@ -39,10 +39,11 @@ def test_boosting_beats_a_constant_and_repeats(ws):
     assert auc > 0.55
     again = learn.gbt_train(ws.vectors, {**QUICK, "maxIter": 10})
     assert model.toDebugString.splitlines()[1:] == again.toDebugString.splitlines()[1:]
-    table = learn.feature_importance(model, ws.vectors)
-    assert table.agg(F.sum("importance")).first()[0] == pytest.approx(1.0)
-    scores = [r["importance"] for r in table.collect()]
-    assert scores == sorted(scores, reverse=True)
+    for by in ("splits", "gain"):
+        table = learn.feature_importance(model, ws.vectors, by)
+        scores = [r["importance"] for r in table.collect()]
+        assert sum(scores) == pytest.approx(1.0)
+        assert scores == sorted(scores, reverse=True)
 
 
 def test_folds_score_every_row_once(ws):
@@ -129,6 +130,7 @@ def test_stack_shapes(ws, with_original):
     assert done.test.count() == ws.test.count()
     assert done.test.columns == ["user_id", "product_id", "order_id", "score"]
     assert "lasso" in done.oof.columns
+    assert [r["model"] for r in done.scores.collect()] == ["lasso"]
 
 
 def test_pca_scores_are_centred_and_ordered(ws):

@@ -90,6 +90,23 @@ def test_sinks_are_sorted(spark, tmp_path):
         assert load_order_lists(spark, path).count() == 3
 
 
+def test_submission_name():
+    from datetime import datetime
+
+    from trolley.sources import submission_name
+
+    at = datetime(2020, 1, 2, 3, 4, 5)
+    assert submission_name(0.38, at) == "submission_2020_01_02_03_04_05_0.38.csv"
+
+
+def test_closed_store_leaves_no_tables(spark):
+    store = Store(spark)
+    name = store.put_bucketed(spark.range(4), "t", ["id"], 2)
+    assert name.count() == 4
+    store.close()
+    assert not [t for t in spark.catalog.listTables() if store.tag in t.name]
+
+
 def test_sample_is_stable(spark):
     df = spark.range(100)
     five = sample_rows(df, 5, seed=1).collect()

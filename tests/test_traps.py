@@ -212,6 +212,15 @@ def test_histogram_of_one_value(spark):
     assert rows(got) == [(0, 2.5, 3.0, 0), (1, 3.0, 3.5, 2)]
 
 
+def test_first_lines_cross_blocks(spark):
+    lines = [(o, p, p, 0) for o in (1, 5, 9, 12) for p in (1, 2, 3)]
+    tables = baskets(spark, [], lines)
+    for n in (1, 4, 6, 11, 12, 50):
+        got = explore.first_n_lines(tables, n, width=4)
+        assert rows(got) == sorted(lines)[:n]
+    assert explore.table_preview(tables["prior"], "order_id", "product_id", n=2).count() == 2
+
+
 def test_overlap_of_sets_is_reported(spark):
     tables = baskets(
         spark, [(3, 1, "test", 1, 0, 0, None)], [(1, 5, 1, 0), (2, 5, 1, 0)], [(2, 5, 1, 0), (3, 5, 1, 0)]

@@ -25,8 +25,8 @@ STATS: dict[str, Callable[[Column], Column]] = {
 
 
 def named_stat(stat: Stat) -> Callable[[Column], Column]:
-    """The aggregate called ``stat``; a callable from Column to an aggregate
-    Column (a grouped-aggregate pandas UDF included) passes through."""
+    """The aggregate called ``stat``; a callable from a Column to an aggregate
+    Column passes through."""
     if callable(stat):
         return stat
     try:

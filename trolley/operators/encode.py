@@ -8,35 +8,41 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.store import Store
 from .ranking import position_in_group, range_blocks
 
-INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+SHORT_INTEGERS = (T.ByteType, T.ShortType, T.IntegerType)
+INTEGERS = (*SHORT_INTEGERS, T.LongType)
 VALUES_PER_BLOCK = 1 << 16
 
 
-def label_codes(df: DataFrame, column: str, store) -> DataFrame:
+def label_codes(df: DataFrame, column: str, store=None) -> DataFrame:
     """(column, code): the distinct values of ``column``, numbered 0..k-1 in
     ascending order. Numbers order as numbers, strings by code point.
 
-    Numbered in blocks, each 65,536 consecutive integers or, for other types,
-    one even range of the sorted values.
+    Numbered in blocks: 65,536 consecutive integers of up to 32 bits, hence at
+    most as many blocks; for other types one even range of the sorted values.
     """
     values = df.filter(F.col(column).isNotNull()).select(column).distinct()
-    if isinstance(df.schema[column].dataType, INTEGERS):
+    if isinstance(df.schema[column].dataType, SHORT_INTEGERS):
         block = F.floor(F.col(column) / F.lit(VALUES_PER_BLOCK))
     else:
-        values, block = range_blocks(values, [column], store), F.col("_block")
+        ranged = range_blocks(values, [column], store or Store(df.sparkSession))
+        values, block = ranged, F.col("_block")
     placed = position_in_group(
         values, [], [column], {"_block": block}, position="_position"
     )
     return placed.select(column, (F.col("_position") - 1).cast("int").alias("code"))
 
 
-def encode_labels(df: DataFrame, columns: Sequence[str], store) -> DataFrame:
-    """Replaces each column by its code; NULL stays NULL. The code tables are
-    stored first so that the join strategy follows from their actual size."""
+def encode_labels(df: DataFrame, columns: Sequence[str], store=None) -> DataFrame:
+    """Replaces each column by its code; NULL stays NULL. For a large ``df``
+    give a store: the code tables are then written first, and the join strategy
+    follows from their actual size."""
     for column in columns:
-        codes = store.put(label_codes(df, column, store), f"codes_{column}")
+        codes = label_codes(df, column, store)
+        if store is not None:
+            codes = store.put(codes, f"codes_{column}")
         df = (
             df.join(codes, column, "left").drop(column).withColumnRenamed("code", column)
         )

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from statistics import fmean, pstdev
 
 from pyspark.ml import Estimator, Model
@@ -143,20 +146,31 @@ def gbt_score(model: GBTClassificationModel, vectors: DataFrame) -> DataFrame:
 
 
 def gbt_cv_scores(
-    train: DataFrame, store, k: int = 4, params: Mapping[str, object] | None = None
+    train: DataFrame,
+    store,
+    k: int = 4,
+    params: Mapping[str, object] | None = None,
+    categorical: Sequence[str] = (),
 ) -> DataFrame:
     """(fold, ids, label, score): each row scored by the model of the folds it
-    is not in. Folds are user_id mod k; vectors are stored partitioned by fold
-    so that each fit reads only its own folds."""
-    folded = user_folds(vectorize(label_fill(train)), k)
-    vectors = store.put_partitioned(folded, "cv_vectors", ["fold"])
-    scored = None
+    is not in. Folds are user_id mod k, stored as folders so that each fit
+    reads only its own. With ``categorical`` columns the fits are those of
+    :func:`gbt_categorical`, the held-out fold stopping the boosting."""
+    folded = user_folds(label_fill(train), k)
+    if not categorical:
+        folded = vectorize(folded, keep=["fold"])
+    stored = store.put_partitioned(folded, "cv_folds", ["fold"])
+    parts = []
     for fold in range(k):
-        held = F.col("fold") == fold
-        model = gbt_train(vectors.filter(~held), {**CROSS_VALIDATE, **(params or {})})
-        part = gbt_score(model, vectors.filter(held))
-        scored = part if scored is None else scored.unionByName(part)
-    return scored
+        seen, held = (stored.filter(c) for c in (F.col("fold") != fold, F.col("fold") == fold))
+        if categorical:
+            scored = gbt_categorical(seen, held, categorical, params)[1]
+            scored = scored.withColumn("fold", F.lit(fold))
+        else:
+            model = gbt_train(seen, {**CROSS_VALIDATE, **(params or {})})
+            scored = gbt_score(model, held)
+        parts.append(scored)
+    return reduce(DataFrame.unionByName, parts)
 
 
 def folded_lists(scored: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -172,9 +186,11 @@ def gbt_cv_f1(
     k: int = 4,
     params: Mapping[str, object] | None = None,
     threshold: float = THRESHOLD,
+    categorical: Sequence[str] = (),
 ) -> DataFrame:
     """F1 per fold, mean of folds and pooled F1."""
-    return fold_scores(truth, folded_lists(gbt_cv_scores(train, store, k, params), threshold))
+    scored = gbt_cv_scores(train, store, k, params, categorical)
+    return fold_scores(truth, folded_lists(scored, threshold))
 
 
 def gbt_round_sweep(
@@ -182,12 +198,13 @@ def gbt_round_sweep(
 ) -> DataFrame:
     """:func:`gbt_cv_f1` for several numbers of rounds."""
     params = kw.pop("params", None) or {}
-    swept = None
-    for n in rounds:
-        part = gbt_cv_f1(train, truth, store, params={**params, "maxIter": n}, **kw)
-        part = part.withColumn("rounds", F.lit(n))
-        swept = part if swept is None else swept.unionByName(part)
-    return swept
+    scores = [
+        gbt_cv_f1(train, truth, store, params={**params, "maxIter": n}, **kw).withColumn(
+            "rounds", F.lit(n)
+        )
+        for n in rounds
+    ]
+    return reduce(DataFrame.unionByName, scores)
 
 
 def gbt_rounds(
@@ -246,13 +263,19 @@ def gbt_categorical(
     return model, gbt_score(model, vectors.filter("held_out")).drop("held_out")
 
 
-def feature_importance(model: Model, vectors: DataFrame) -> DataFrame:
-    """(feature, importance): shares that sum to 1, largest first."""
-    weights = model.featureImportances.toArray()
-    total = float(weights.sum()) or 1.0
-    rows = [
-        (name, float(w) / total) for name, w in zip(feature_names(vectors), weights)
-    ]
+def feature_importance(
+    model: GBTClassificationModel, vectors: DataFrame, by: str = "splits"
+) -> DataFrame:
+    """(feature, importance) of the features in use: shares that sum to 1,
+    largest first, of the number of splits on the feature or of their gain."""
+    if by == "gain":
+        weights = dict(enumerate(model.featureImportances.toArray().tolist()))
+    else:
+        found = re.findall(r"If \(feature (\d+) ", model.toDebugString)
+        weights = Counter(int(slot) for slot in found)
+    total = sum(weights.values()) or 1
+    names = feature_names(vectors)
+    rows = [(names[slot], w / total) for slot, w in weights.items() if w > 0]
     table = vectors.sparkSession.createDataFrame(rows, "feature string, importance double")
     return table.orderBy(F.desc("importance"), "feature")
 

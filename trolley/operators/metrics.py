@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -67,16 +69,22 @@ def fold_scores(truth: DataFrame, folded: DataFrame) -> DataFrame:
     return by_fold.unionByName(overall)
 
 
-def regression_metrics(df: DataFrame, y: str, yhat: str) -> DataFrame:
-    """One row: rmse, rmsle, r2."""
+def regression_terms(y: str, yhat: str, names: Sequence[str]) -> list[Column]:
+    """The named aggregates among rmse, rmsle and r2."""
     error = F.pow(F.col(y) - F.col(yhat), 2)
     log_error = F.pow(F.log1p(F.col(y)) - F.log1p(F.col(yhat)), 2)
     spread = F.var_pop(y) * F.count(y)
-    return df.agg(
-        F.sqrt(F.avg(error)).alias("rmse"),
-        F.sqrt(F.avg(log_error)).alias("rmsle"),
-        (1 - F.try_divide(F.sum(error), spread)).alias("r2"),
-    )
+    terms = {
+        "rmse": F.sqrt(F.avg(error)),
+        "rmsle": F.sqrt(F.avg(log_error)),
+        "r2": 1 - F.try_divide(F.sum(error), spread),
+    }
+    return [terms[n].alias(n) for n in names]
+
+
+def regression_metrics(df: DataFrame, y: str, yhat: str) -> DataFrame:
+    """One row: rmse, rmsle, r2."""
+    return df.agg(*regression_terms(y, yhat, ["rmse", "rmsle", "r2"]))
 
 
 def binary_metrics(

@@ -17,20 +17,29 @@ from .ranking import share
 MAX_AISLES = 10_000
 
 
-def user_aisle_counts(tables: Tables) -> DataFrame:
-    """(user_id, aisle, n) for every aisle a user bought from."""
+def user_aisle_counts(tables: Tables, lines: DataFrame | None = None) -> DataFrame:
+    """(user_id, aisle, n) for every aisle a user bought from, over all prior
+    lines or the given ones.
+
+    Lines are counted under one aisle id per name, so that the shuffle carries
+    numbers; the names are joined to the counts.
+    """
+    named = tables["aisles"].groupBy("aisle").agg(F.min("aisle_id").alias("_aisle"))
     aisle_of = (
         tables["products"]
         .select("product_id", "aisle_id")
         .join(tables["aisles"], "aisle_id")
-        .select("product_id", "aisle")
+        .join(named, "aisle")
+        .select("product_id", "_aisle")
     )
+    lines = tables["prior"] if lines is None else lines
     return (
-        tables["prior"]
-        .join(tables["orders"].select("order_id", "user_id"), "order_id")
+        lines.join(tables["orders"].select("order_id", "user_id"), "order_id")
         .join(aisle_of, "product_id")
-        .groupBy("user_id", "aisle")
+        .groupBy("user_id", "_aisle")
         .agg(F.count(F.lit(1)).alias("n"))
+        .join(named, "_aisle")
+        .select("user_id", "aisle", "n")
     )
 
 

@@ -10,12 +10,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import cap, name_flag, ratio
 from ..operators.joins import Tables, lines_of_orders, lines_with_dims
-from ..operators.ranking import share, top_n
+from ..operators.ranking import ORDERS_PER_BLOCK, share, top_n
 
 LINE_SETS = ("prior", "train")
 HOURS = list(range(24))
@@ -72,9 +72,41 @@ def table_profile(tables: Tables) -> DataFrame:
     )
 
 
-def first_n_lines(tables: Tables, n: int = 300_000) -> DataFrame:
-    """The first ``n`` prior lines in (order_id, cart position) order."""
-    return tables["prior"].orderBy("order_id", "add_to_cart_order").limit(n)
+def table_preview(frame: DataFrame, *keys: str, n: int = 5) -> DataFrame:
+    """The first ``n`` rows in key order."""
+    return frame.orderBy(*keys).limit(n)
+
+
+def first_n_lines(
+    tables: Tables, n: int = 300_000, width: int = ORDERS_PER_BLOCK
+) -> DataFrame:
+    """The first ``n`` prior lines in (order_id, cart position) order.
+
+    Sorting for a limit this large would bring ``n`` lines of every partition
+    to one task. Instead lines are counted per block of ``width`` order ids;
+    whole blocks are kept by a filter, and only the block in which the n-th
+    line falls is sorted.
+    """
+    prior = tables["prior"]
+    block = F.floor(F.col("order_id") / F.lit(width)).alias("_block")
+    before = F.sum("_lines").over(Window.orderBy("_block")) - F.col("_lines")
+    cut = (
+        prior.groupBy(block)
+        .agg(_count("_lines"))
+        .withColumn("_before", before)
+        .filter(F.col("_before") < n)
+        .orderBy(F.desc("_block"))
+        .first()
+    )
+    if cut is None:
+        return prior
+    whole = prior.filter(F.col("order_id") < cut["_block"] * width)
+    split = prior.filter(
+        (F.col("order_id") >= cut["_block"] * width)
+        & (F.col("order_id") < (cut["_block"] + 1) * width)
+    )
+    rest = split.orderBy("order_id", "add_to_cart_order").limit(n - cut["_before"])
+    return whole.unionByName(rest)
 
 
 def orders_per_user(tables: Tables) -> DataFrame:

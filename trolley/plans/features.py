@@ -157,13 +157,13 @@ def feature_matrix(spark: SparkSession, tables: Tables, store) -> DataFrame:
     )
     buckets = store.buckets_for(tables["prior"].count())
     pairs = store.put_bucketed(labelled, "pairs", ["user_id"], buckets)
-    users = store.put_bucketed(
-        user_features(tables["orders"], pairs), "users", ["user_id"], buckets
-    )
-    # codes are numbered over the products that reach the matrix
+    users = user_features(tables["orders"], pairs)
+    # codes are numbered over the products that reach the matrix: those bought
+    # by a user with a last order
+    ends = tables["orders"].filter(F.col("eval_set") != "prior").select("user_id")
     reached = (
         pairs.select(*schema.PAIR_KEYS)
-        .join(users.select("user_id"), "user_id", "left_semi")
+        .join(ends, "user_id", "left_semi")
         .select("product_id")
         .distinct()
     )
@@ -172,7 +172,7 @@ def feature_matrix(spark: SparkSession, tables: Tables, store) -> DataFrame:
         "product_id",
         "left",
     )
-    coded = encode_labels(store.put(placed, "placed"), ["aisle_id", "department_id"], store)
+    coded = encode_labels(store.put(placed, "placed"), ["aisle_id", "department_id"])
     products = store.put(
         product_features(pairs).join(coded, "product_id"), "product_features"
     )

@@ -102,6 +102,11 @@ for _report in (
     _query(lambda ws, report=_report: report(ws.tables), _report.__name__)
 
 
+@_query
+def table_preview(ws):
+    return explore.table_preview(ws.tables["orders"], "order_id", n=5)
+
+
 @_query
 def days_gap_hist_all(ws):
     return explore.days_gap_hist(ws.tables, keep_null=True)
@@ -361,6 +366,12 @@ def submission(ws):
     return decode.submission(ws.tables["sample_submission"], lists)
 
 
+@_query
+def complete_test_lists(ws):
+    """Every test order in the matrix, with its list or 'None'."""
+    return decode.complete_lists(ws.scored.filter(F.col("eval_set") == "test"), LIMIT)
+
+
 @_query
 def ground_truth(ws):
     return ws.truth
@@ -524,6 +535,14 @@ def gbt_categorical(ws):
     return learn.gbt_categorical(seen, held, params={**QUICK, "maxDepth": 5})[1]
 
 
+@_query
+def gbt_categorical_cv_f1(ws):
+    params = {**QUICK, "maxDepth": 5}
+    return learn.gbt_cv_f1(
+        ws.train, ws.truth, ws.store, k=2, params=params, categorical=["aisle_id"]
+    )
+
+
 @_query
 def ridge_grid(ws):
     return learn.ridge_grid(ws.vectors, ws.n_train)[1]
@@ -552,6 +571,15 @@ def oof_stack(ws):
     ).test
 
 
+@_query
+def oof_stack_scores(ws):
+    models = _learners(ws, "ridge", "lasso", "elastic")
+    meta = _learners(ws, "ridge")["ridge"]
+    return stacking.oof_stack(
+        ws.vectors, ws.test_vectors, models, meta, ws.store, k=3
+    ).scores
+
+
 @_query
 def oof_stack_train(ws):
     models = _learners(ws, "ridge", "lasso")
@@ -573,14 +601,18 @@ def oof_stack_three_levels(ws):
 
 @_query
 def oof_stack_extra(ws):
-    """Stack with a column the base models do not see."""
+    """Stack with a column the base models do not see, and a boosted meta-model
+    whose number of rounds is searched."""
     pair = segments.pca_pair(ws.components).select("user_id", F.col("x").alias("taste"))
 
     def with_taste(vectors):
         return vectors.join(pair, "user_id", "left").fillna(0.0, ["taste"])
 
+    def meta(vectors):
+        rounds, _ = learn.gbt_rounds(vectors, k=2, max_rounds=5)
+        return learn.gbt_train(vectors, {"maxIter": rounds})
+
     models = _learners(ws, "ridge", "lasso")
-    meta = _learners(ws, "boosted")["boosted"]
     return stacking.oof_stack(
         with_taste(ws.vectors),
         with_taste(ws.test_vectors),

@@ -208,6 +208,8 @@ UNION ALL SELECT 'aisles', count(*), 2 FROM f_aisles
 UNION ALL SELECT 'departments', count(*), 2 FROM f_departments
 UNION ALL SELECT 'sample_submission', count(*), 2 FROM f_sample
 UNION ALL SELECT 'order_streaks', count(*), 3 FROM f_streak
+-- table_preview
+SELECT * FROM f_orders ORDER BY order_id LIMIT 5
 -- first_n_lines
 SELECT * FROM f_prior ORDER BY order_id, add_to_cart_order LIMIT 300000
 -- orders_per_user
@@ -503,6 +505,9 @@ FROM f_sample s LEFT JOIN picked p ON p.order_id = s.order_id AND p.eval_set = '
 -- submission_csv
 SELECT CAST(s.order_id AS INT) AS order_id, coalesce(p.products, 'None') AS products
 FROM f_sample s LEFT JOIN picked p ON p.order_id = s.order_id AND p.eval_set = 'test'
+-- complete_test_lists
+SELECT m.order_id, coalesce(p.products, 'None') AS products
+FROM (SELECT DISTINCT order_id FROM matrix WHERE eval_set = 'test') m LEFT JOIN picked p ON p.order_id = m.order_id
 -- ground_truth
 SELECT * FROM truth
 -- ground_truth_csv

@@ -4,6 +4,7 @@ from .datasets import (
     load_dataset,
     sample_rows,
     save_dataset,
+    submission_name,
     write_ground_truth,
     write_submission,
 )
@@ -18,6 +19,7 @@ __all__ = [
     "sample_rows",
     "save_dataset",
     "scan_csv",
+    "submission_name",
     "write_ground_truth",
     "write_submission",
 ]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,6 +47,11 @@ def cached(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> Da
     return stored
 
 
+def submission_name(score: float, at: datetime) -> str:
+    """File name of a submission made at a given time with a given CV score."""
+    return f"submission_{at:%Y_%m_%d_%H_%M_%S}_{score}.csv"
+
+
 def write_submission(lists: DataFrame, path: str) -> None:
     """(order_id, products) as CSV, globally sorted by order. Range partitions
     are written in parallel: the part files in name order are the sorted file."""

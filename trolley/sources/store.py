@@ -39,6 +39,7 @@ class Store:
         self.spark = spark
         self.tag = f"trolley_{uuid.uuid4().hex[:12]}"
         self.root = f"{scratch_root(spark)}/{self.tag}"
+        self._tables: list[str] = []
 
     def put(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}_{uuid.uuid4().hex[:8]}"
@@ -75,7 +76,14 @@ class Store:
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.saveAsTable(table)
+        self._tables.append(table)
         return self.spark.table(table)
 
+    def close(self) -> None:
+        """Remove the store's tables from the catalog. Their files stay."""
+        for table in self._tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        self._tables.clear()
+
     def buckets_for(self, rows: int) -> int:
         return max(self.spark.sparkContext.defaultParallelism, -(-rows // ROWS_PER_BUCKET))
