@@ -75,7 +75,7 @@ def test_categories_get_bins(ws):
 
 
 def test_ridge_grid_lists_every_penalty(ws):
-    _, table = learn.ridge_grid(ws.vectors, ws.n_train, alphas=[0.1, 10.0], k=2)
+    _, table = learn.ridge_grid(ws.vectors, alphas=[0.1, 10.0], k=2)
     assert [r["alpha"] for r in table.collect()] == [0.1, 10.0]
 
 
@@ -121,7 +121,7 @@ def test_out_of_fold_prediction_ignores_own_label(spark, ws):
 
 @pytest.mark.parametrize("with_original", [True, False])
 def test_stack_shapes(ws, with_original):
-    learners = learn.base_learners(ws.n_train, trees=2)
+    learners = learn.base_learners(ws.ridge_unit, trees=2)
     one = {"lasso": learners["lasso"]}
     done = stacking.oof_stack(
         ws.vectors, ws.test_vectors, one, learners["ridge"], ws.store, k=2,

@@ -10,6 +10,7 @@ from trolley.sources import (
     load_tables,
     sample_rows,
     save_dataset,
+    store_tables,
     write_ground_truth,
     write_submission,
 )
@@ -46,6 +47,17 @@ def test_typed_scan(spark, folder):
     assert tables["products"].first()["product_name"] == "Milk, whole"
 
 
+def test_stored_tables_join_in_place(spark, folder):
+    from trolley.operators.joins import prior_detail
+
+    loaded = load_tables(spark, folder)
+    tables = store_tables(loaded, Store(spark))
+    for name, frame in loaded.items():
+        assert tables[name].exceptAll(frame).isEmpty() and frame.exceptAll(tables[name]).isEmpty()
+    joined = prior_detail({n: f.hint("merge") for n, f in tables.items()})
+    assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
 def test_features_from_files(spark, folder):
     from trolley.plans.features import feature_matrix
 

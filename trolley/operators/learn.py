@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .. import schema
 from ..sources.store import scratch_root
-from .decode import complete_lists
+from .decode import complete_lists, decode, submission
 from .matrix_ops import hash_folds, label_fill, user_folds
 from .metrics import fold_scores
 
@@ -239,30 +239,49 @@ def gbt_rounds(
 
 def gbt_categorical(
     train: DataFrame,
-    valid: DataFrame,
+    scored: DataFrame,
     columns: Sequence[str] = ("aisle_id",),
     params: Mapping[str, object] | None = None,
+    validate: bool = True,
 ) -> tuple[GBTClassificationModel, DataFrame]:
-    """Boosted trees that take code columns as categories; the validation rows
-    stop the boosting. Returns the model and the scored validation rows."""
+    """Boosted trees that take code columns as categories. Returns the model
+    and the scored rows. With ``validate`` those rows are labelled and stop the
+    boosting; without, all of ``train`` is fitted for all rounds."""
     both = (
         label_fill(train).withColumn("held_out", F.lit(False))
-        .unionByName(label_fill(valid).withColumn("held_out", F.lit(True)))
+        .unionByName(label_fill(scored).withColumn("held_out", F.lit(True)))
     )
     sizes = both.agg(*[(F.max(c) + 1).alias(c) for c in columns]).first()
     vectors = vectorize(both, categories=sizes.asDict(), keep=["held_out"])
     _checkpointed(vectors)
-    model = GBTClassifier(
+    learner = GBTClassifier(
         featuresCol=FEATURES,
         labelCol=LABEL,
-        validationIndicatorCol="held_out",
         # a split on a category needs a bin per category
         maxBins=max(32, *[s + 1 for s in sizes]),
         **{**CATEGORICAL, **(params or {})},
-    ).fit(vectors)
+    )
+    if validate:
+        model = learner.setValidationIndicatorCol("held_out").fit(vectors)
+    else:
+        model = learner.fit(vectors.filter("not held_out"))
     return model, gbt_score(model, vectors.filter("held_out")).drop("held_out")
 
 
+def gbt_submission(
+    train: DataFrame,
+    test: DataFrame,
+    sample: DataFrame,
+    store,
+    params: Mapping[str, object] | None = None,
+    threshold: float = THRESHOLD,
+) -> DataFrame:
+    """One list per sample order, from a model fitted on the train matrix."""
+    vectors = store.put(vectorize(label_fill(train)), "fit_vectors")
+    scored = gbt_score(gbt_train(vectors, params), vectorize(test))
+    return submission(sample, decode(scored, threshold))
+
+
 def feature_importance(
     model: GBTClassificationModel, vectors: DataFrame, by: str = "splits"
 ) -> DataFrame:
@@ -280,10 +299,18 @@ def feature_importance(
     return table.orderBy(F.desc("importance"), "feature")
 
 
-def base_learners(n_rows: int, trees: int | None = None) -> dict[str, Estimator]:
-    """The base learners of the stack that Spark ML offers. ``n_rows`` scales
-    the ridge penalty, which applies to the summed squared error; ``trees``
-    overrides the size of the ensembles."""
+def ridge_unit(vectors: DataFrame) -> float:
+    """``regParam`` of a ridge penalty of 1 on the summed squared error: Spark
+    penalises the mean error and divides the parameter by the label's standard
+    deviation."""
+    spread, n = vectors.agg(F.stddev_pop(LABEL), F.count(LABEL)).first()
+    return (spread or 1.0) / max(n, 1)
+
+
+def base_learners(unit: float, trees: int | None = None) -> dict[str, Estimator]:
+    """The base learners of the stack that Spark ML offers. ``unit`` is the
+    :func:`ridge_unit` of the train vectors; ``trees`` overrides the size of
+    the ensembles."""
     common = {"featuresCol": FEATURES, "labelCol": LABEL}
     # the penalties are meant for features as they are
     linear = {**common, "standardization": False}
@@ -299,7 +326,7 @@ def base_learners(n_rows: int, trees: int | None = None) -> dict[str, Estimator]
             stepSize=0.05, maxIter=trees or 50, minInstancesPerNode=60,
             subsamplingRate=0.8, featureSubsetStrategy="0.4", maxDepth=5, seed=0, **common,
         ),
-        "ridge": LinearRegression(elasticNetParam=0.0, regParam=0.5 / n_rows, **linear),
+        "ridge": LinearRegression(elasticNetParam=0.0, regParam=0.5 * unit, **linear),
         "lasso": LinearRegression(elasticNetParam=1.0, regParam=0.01, **linear),
         "elastic": LinearRegression(
             elasticNetParam=1.0, regParam=0.00452445, maxIter=32, **common
@@ -309,7 +336,6 @@ def base_learners(n_rows: int, trees: int | None = None) -> dict[str, Estimator]
 
 def ridge_grid(
     vectors: DataFrame,
-    n_rows: int,
     alphas: Sequence[float] = tuple(RIDGE_ALPHAS),
     k: int = 5,
     keys: Sequence[str] = tuple(schema.PAIR_KEYS),
@@ -319,7 +345,8 @@ def ridge_grid(
     ridge = LinearRegression(
         featuresCol=FEATURES, labelCol=LABEL, elasticNetParam=0.0, standardization=False
     )
-    grid = ParamGridBuilder().addGrid(ridge.regParam, [a / n_rows for a in alphas]).build()
+    unit = ridge_unit(vectors)
+    grid = ParamGridBuilder().addGrid(ridge.regParam, [a * unit for a in alphas]).build()
     search = CrossValidator(
         estimator=ridge,
         estimatorParamMaps=grid,

@@ -502,11 +502,16 @@ def cluster_top_aisles_kmeans(ws):
 @_query
 def gbt_train(ws):
     """Submission lists of a model fitted on the whole train matrix."""
-    model = learn.gbt_train(ws.vectors, QUICK)
-    scored = learn.gbt_score(model, ws.test_vectors)
-    return decode.submission(
-        ws.tables["sample_submission"], decode.decode(scored, LIMIT)
-    )
+    sample = ws.tables["sample_submission"]
+    return learn.gbt_submission(ws.train, ws.test, sample, ws.store, QUICK)
+
+
+@_query
+def gbt_categorical_lists(ws):
+    """Lists of every test order from the categorical model."""
+    params = {**QUICK, "maxDepth": 5}
+    scored = learn.gbt_categorical(ws.train, ws.test, params=params, validate=False)[1]
+    return decode.complete_lists(scored, LIMIT)
 
 
 @_query
@@ -545,11 +550,11 @@ def gbt_categorical_cv_f1(ws):
 
 @_query
 def ridge_grid(ws):
-    return learn.ridge_grid(ws.vectors, ws.n_train)[1]
+    return learn.ridge_grid(ws.vectors)[1]
 
 
 def _learners(ws, *names):
-    every = learn.base_learners(ws.n_train, trees=5)
+    every = learn.base_learners(ws.ridge_unit, trees=5)
     return {n: every[n] for n in names}
 
 

@@ -8,7 +8,7 @@ from .datasets import (
     write_ground_truth,
     write_submission,
 )
-from .store import Store
+from .store import Store, store_tables
 
 __all__ = [
     "Store",
@@ -19,6 +19,7 @@ __all__ = [
     "sample_rows",
     "save_dataset",
     "scan_csv",
+    "store_tables",
     "submission_name",
     "write_ground_truth",
     "write_submission",

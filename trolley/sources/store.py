@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ROWS_PER_BUCKET = 20_000_000
+ROWS_PER_BUCKET = 8_000_000
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -86,4 +86,21 @@ class Store:
         self._tables.clear()
 
     def buckets_for(self, rows: int) -> int:
-        return max(self.spark.sparkContext.defaultParallelism, -(-rows // ROWS_PER_BUCKET))
+        """One bucket per ``ROWS_PER_BUCKET`` rows, at least one per core, and no
+        more than Spark allows."""
+        wanted = max(self.spark.sparkContext.defaultParallelism, -(-rows // ROWS_PER_BUCKET))
+        return min(wanted, int(self.spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
+
+
+def store_tables(tables: dict[str, DataFrame], store: Store) -> dict[str, DataFrame]:
+    """The source tables as stored columnar tables. Orders and lines are
+    bucketed on order_id, so joining and grouping on it reads without a
+    shuffle."""
+    buckets = store.buckets_for(tables["prior"].count())
+    by_order = ("orders", "prior", "train")
+    return {
+        name: store.put_bucketed(frame, name, ["order_id"], buckets)
+        if name in by_order
+        else store.put(frame, name)
+        for name, frame in tables.items()
+    }

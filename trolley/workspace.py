@@ -58,8 +58,8 @@ class Workspace:
         return self.store.put(learn.vectorize(self.test).drop("label"), "test_vectors")
 
     @cached_property
-    def n_train(self) -> int:
-        return self.vectors.count()
+    def ridge_unit(self) -> float:
+        return learn.ridge_unit(self.vectors)
 
     @cached_property
     def aisle_counts(self) -> DataFrame:
