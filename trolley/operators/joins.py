@@ -3,10 +3,12 @@ the physical strategy is left to Catalyst and AQE."""
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-Tables = dict[str, DataFrame]
+Tables = Mapping[str, DataFrame]
 
 
 def prior_detail(tables: Tables) -> DataFrame:

@@ -8,11 +8,15 @@ users is kept.
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.ranking import position_in_group
 from ..plans.features import order_streaks
+from ..schema import CSV_FILES
 from .store import Store
 
 # A customer with more orders than this is numbered in blocks of one day and
@@ -21,10 +25,6 @@ HOT_CUSTOMER = 1 << 20
 KEYS_PER_BLOCK = 1 << 24
 
 
-def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
-
-
 def numbered_orders(
     orders: DataFrame, min_orders: int = 4, hot: int = HOT_CUSTOMER
 ) -> DataFrame:
@@ -104,52 +104,97 @@ def order_lines(
     )
 
 
-def product_dims(part: DataFrame, catalogue: int = 100) -> dict[str, DataFrame]:
-    listed = part.filter(F.col("p_partkey") < catalogue)
-    by_name = Window.orderBy("department")  # at most `catalogue` rows
-    departments = (
-        listed.select(F.col("p_type").alias("department"))
-        .distinct()
-        .select(F.row_number().over(by_name).alias("department_id"), "department")
-    )
-    aisle_id = F.replace(F.col("p_brand"), F.lit("Brand#"), F.lit("")).cast("int")
-    return {
-        "departments": departments,
-        "aisles": listed.select(
-            aisle_id.alias("aisle_id"), F.col("p_brand").alias("aisle")
-        ).distinct(),
-        "products": listed.join(
-            departments, F.col("p_type") == F.col("department")
-        ).select(
-            F.col("p_partkey").cast("int").alias("product_id"),
-            F.col("p_name").alias("product_name"),
-            aisle_id.alias("aisle_id"),
-            "department_id",
-        ),
-    }
-
-
-def basket_tables(spark: SparkSession, sf_dir: str, store: Store) -> dict[str, DataFrame]:
-    """All basket tables, stored once. Orders and both line tables are bucketed
-    on order_id, so joining and grouping on it reads without a shuffle."""
-    lineitem = _read(spark, sf_dir, "lineitem")
-    buckets = store.buckets_for(lineitem.count())
-    by_order = ["order_id"]
-    orders = store.put_bucketed(
-        numbered_orders(_read(spark, sf_dir, "orders")), "orders", by_order, buckets
-    )
-    lines = store.put_bucketed(
-        order_lines(lineitem, orders, store), "lines", by_order, buckets, ["eval_set"]
-    )
-    tables = {
-        name: store.put(frame, name)
-        for name, frame in product_dims(_read(spark, sf_dir, "part")).items()
-    }
-    tables["orders"] = orders
-    for name in ("prior", "train"):
-        tables[name] = lines.filter(F.col("eval_set") == name).drop("eval_set")
-    tables["sample_submission"] = orders.filter(F.col("eval_set") == "test").select(
-        "order_id", F.lit("None").alias("products")
-    )
-    tables["order_streaks"] = store.put(order_streaks(tables), "order_streaks")
-    return tables
+def _aisle_id():
+    return F.replace(F.col("p_brand"), F.lit("Brand#"), F.lit("")).cast("int")
+
+
+class BasketTables(Mapping):
+    """The eight basket tables by name, each derived and stored when first
+    asked for. Orders and both line tables are bucketed on order_id, so joining
+    and grouping on it reads without a shuffle."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, store: Store, catalogue: int = 100):
+        self.spark = spark
+        self.sf_dir = sf_dir.rstrip("/")
+        self.store = store
+        self.catalogue = catalogue
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in CSV_FILES:
+            raise KeyError(name)
+        return getattr(self, name)
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(CSV_FILES)
+
+    def __len__(self) -> int:
+        return len(CSV_FILES)
+
+    def _read(self, table: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
+
+    @cached_property
+    def _listed(self) -> DataFrame:
+        """Parts that folded part keys refer to."""
+        return self._read("part").filter(F.col("p_partkey") < self.catalogue)
+
+    @cached_property
+    def _buckets(self) -> int:
+        return self.store.buckets_for(self._read("lineitem").count())
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        numbered = numbered_orders(self._read("orders"))
+        return self.store.put_bucketed(numbered, "orders", ["order_id"], self._buckets)
+
+    @cached_property
+    def _lines(self) -> DataFrame:
+        lines = order_lines(self._read("lineitem"), self.orders, self.store, self.catalogue)
+        return self.store.put_bucketed(
+            lines, "lines", ["order_id"], self._buckets, ["eval_set"]
+        )
+
+    def _lines_of(self, eval_set: str) -> DataFrame:
+        return self._lines.filter(F.col("eval_set") == eval_set).drop("eval_set")
+
+    @cached_property
+    def prior(self) -> DataFrame:
+        return self._lines_of("prior")
+
+    @cached_property
+    def train(self) -> DataFrame:
+        return self._lines_of("train")
+
+    @cached_property
+    def departments(self) -> DataFrame:
+        by_name = Window.orderBy("department")  # at most `catalogue` rows
+        named = self._listed.select(F.col("p_type").alias("department")).distinct()
+        numbered = named.select(F.row_number().over(by_name).alias("department_id"), "department")
+        return self.store.put(numbered, "departments")
+
+    @cached_property
+    def aisles(self) -> DataFrame:
+        named = self._listed.select(_aisle_id().alias("aisle_id"), F.col("p_brand").alias("aisle"))
+        return self.store.put(named.distinct(), "aisles")
+
+    @cached_property
+    def products(self) -> DataFrame:
+        placed = self._listed.join(self.departments, F.col("p_type") == F.col("department"))
+        return self.store.put(
+            placed.select(
+                F.col("p_partkey").cast("int").alias("product_id"),
+                F.col("p_name").alias("product_name"),
+                _aisle_id().alias("aisle_id"),
+                "department_id",
+            ),
+            "products",
+        )
+
+    @cached_property
+    def sample_submission(self) -> DataFrame:
+        test = self.orders.filter(F.col("eval_set") == "test")
+        return test.select("order_id", F.lit("None").alias("products"))
+
+    @cached_property
+    def order_streaks(self) -> DataFrame:
+        return self.store.put(order_streaks(self), "order_streaks")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from .operators import decode, learn, matrix_ops, segments
 from .plans import features
-from .sources.fixtures import basket_tables
+from .sources.fixtures import BasketTables
 from .sources.store import Store
 
 
@@ -18,7 +18,7 @@ class Workspace:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.store = Store(spark)
-        self.tables = basket_tables(spark, sf_dir, self.store)
+        self.tables = BasketTables(spark, sf_dir, self.store)
 
     @cached_property
     def matrix(self) -> DataFrame:
