@@ -119,12 +119,23 @@ def _checkpointed(df: DataFrame) -> None:
         context.setCheckpointDir(scratch_root(df.sparkSession))
 
 
+def spread(vectors: DataFrame) -> DataFrame:
+    """``vectors`` over at least as many partitions as there are cores. A scan
+    splits by bytes; vectors too few to fill the cores that way still cost many
+    passes of arithmetic. The rows go by hash of their keys, the same each time."""
+    cores = vectors.sparkSession.sparkContext.defaultParallelism
+    keys = [c for c in IDS if c in vectors.columns]
+    if not keys or vectors.rdd.getNumPartitions() >= cores:
+        return vectors
+    return vectors.repartition(cores, *keys)
+
+
 def gbt_train(
     vectors: DataFrame, params: Mapping[str, object] | None = None
 ) -> GBTClassificationModel:
     """Boosted trees with logistic loss on labelled :func:`vectorize` output."""
     _checkpointed(vectors)
-    return _boosted(params or {}).fit(vectors)
+    return _boosted(params or {}).fit(spread(vectors))
 
 
 def probability_of(frame: DataFrame) -> Column:
@@ -262,9 +273,9 @@ def gbt_categorical(
         **{**CATEGORICAL, **(params or {})},
     )
     if validate:
-        model = learner.setValidationIndicatorCol("held_out").fit(vectors)
+        model = learner.setValidationIndicatorCol("held_out").fit(spread(vectors))
     else:
-        model = learner.fit(vectors.filter("not held_out"))
+        model = learner.fit(spread(vectors.filter("not held_out")))
     return model, gbt_score(model, vectors.filter("held_out")).drop("held_out")
 
 
@@ -355,7 +366,7 @@ def ridge_grid(
         foldCol="fold",
         parallelism=4,
     )
-    model = search.fit(hash_folds(vectors, keys, k, seed=0))
+    model = search.fit(hash_folds(spread(vectors), keys, k, seed=0))
     table = vectors.sparkSession.createDataFrame(
         [(float(a), float(r)) for a, r in zip(alphas, model.avgMetrics)],
         "alpha double, r2 double",
