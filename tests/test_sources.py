@@ -136,19 +136,27 @@ def test_bucketed_tables_join_without_a_shuffle(spark):
     assert joined.count() == 100
 
 
-def test_scratch_folder_is_named_on_a_cluster(spark, monkeypatch):
-    from trolley.sources import store
+class Session:
+    """A session without spark.checkpoint.dir."""
 
-    class Context:
-        master = "yarn"
+    def __init__(self, master):
+        self.master, self.folder = master, None
+        self.sparkContext = self.conf = self
 
-    class Cluster:
-        sparkContext = Context()
+    def get(self, key, default):
+        return default
 
-        class conf:
-            @staticmethod
-            def get(key, default):
-                return default
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def test_scratch_folder_is_named_on_a_cluster():
+    from trolley.sources.store import scratch_root
 
     with pytest.raises(RuntimeError):
-        store.scratch_root(Cluster())
+        scratch_root(Session("yarn"))
+    local = Session("local[2]")
+    assert scratch_root(local) == scratch_root(local) == local.folder

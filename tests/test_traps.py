@@ -112,6 +112,22 @@ def test_cluster_mean_counts_absent_buyers(spark):
     ]
 
 
+def test_aisles_of_one_name_count_together(spark):
+    tables = baskets(
+        spark,
+        [(1, 7, "prior", 1, 0, 0, None)],
+        [(1, 10, 1, 0), (1, 11, 2, 0), (1, 12, 3, 0), (1, 13, 4, 0)],
+    )
+    tables["products"] = spark.createDataFrame(
+        [(10, "w", 1, 1), (11, "x", 2, 1), (12, "y", 3, 1), (13, "z", 9, 1)],
+        "product_id int, product_name string, aisle_id int, department_id int",
+    )
+    tables["aisles"] = spark.createDataFrame(
+        [(1, "milk"), (2, "tea"), (3, "milk")], "aisle_id int, aisle string"
+    )
+    assert rows(segments.user_aisle_counts(tables)) == [(7, "milk", 2), (7, "tea", 1)]
+
+
 def test_codes_follow_numeric_order(spark):
     df = spark.createDataFrame([(10,), (2,), (1,), (2,), (None,)], "v int")
     got = encode.encode_labels(df, ["v"], Store(spark))

@@ -22,23 +22,20 @@ def user_aisle_counts(tables: Tables, lines: DataFrame | None = None) -> DataFra
     lines or the given ones.
 
     Lines are counted under one aisle id per name, so that the shuffle carries
-    numbers; the names are joined to the counts.
+    numbers; the names are joined to the counts. Each dimension is joined to
+    the lines by itself: Catalyst knows the size of a scan, while it takes the
+    size of a join to be the product of its sides and would not broadcast it.
     """
-    named = tables["aisles"].groupBy("aisle").agg(F.min("aisle_id").alias("_aisle"))
-    aisle_of = (
-        tables["products"]
-        .select("product_id", "aisle_id")
-        .join(tables["aisles"], "aisle_id")
-        .join(named, "aisle")
-        .select("product_id", "_aisle")
-    )
+    same_name = F.min("aisle_id").over(Window.partitionBy("aisle"))
+    aisles = tables["aisles"].withColumn("_aisle", same_name)
     lines = tables["prior"] if lines is None else lines
     return (
         lines.join(tables["orders"].select("order_id", "user_id"), "order_id")
-        .join(aisle_of, "product_id")
+        .join(tables["products"].select("product_id", "aisle_id"), "product_id")
+        .join(aisles.select("aisle_id", "_aisle"), "aisle_id")
         .groupBy("user_id", "_aisle")
         .agg(F.count(F.lit(1)).alias("n"))
-        .join(named, "_aisle")
+        .join(aisles.filter(F.col("aisle_id") == F.col("_aisle")), "_aisle")
         .select("user_id", "aisle", "n")
     )
 

@@ -22,14 +22,14 @@ ROWS_PER_BUCKET = 8_000_000
 def scratch_root(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a private temporary one
     only for a local session that names none."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="trolley-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="trolley-"))
+    return context.getCheckpointDir().rstrip("/")
 
 
 class Store:
