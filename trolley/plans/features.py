@@ -147,9 +147,10 @@ def feature_matrix(spark: SparkSession, tables: Tables, store) -> DataFrame:
 
     Label and streak are joined while the pair statistics are still partitioned
     on (user_id, product_id). The result is stored bucketed on user_id, at most
-    a catalogue of rows per user, so user statistics and the final assembly
-    read co-located buckets and shuffle nothing; product statistics, a stored
-    table as long as the catalogue, are broadcast when their size allows.
+    a catalogue of rows per user, so line-level user statistics and the user
+    join read co-located buckets; only order-level rows are shuffled. Product
+    statistics, a stored table as long as the catalogue, are broadcast when
+    their size allows.
     """
     streaks = tables["order_streaks"].select(*schema.PAIR_KEYS, "order_streak")
     labelled = label_join(pair_stats(prior_detail(tables)), tables).join(
