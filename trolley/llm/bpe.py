@@ -6,6 +6,12 @@ dictionary goes, shard by shard, to the tasks that encode each distinct piece
 once. The ids come back to the block and are put together by position.
 Decoding joins ids to the table of token bytes.
 
+The texts are cut twice, once for the dictionaries and once for the positions,
+which moves half of what storing the cut texts would. A block's number is its
+place in the input, so both passes must read the same rows in the same order,
+as from a stored table; dictionaries carry a digest, and a difference is an
+error.
+
 Null and empty texts have no tokens. Repeated rows, repeated and null ids are
 kept as they are, one result per row; an empty table gives an empty result.
 Other columns are not read.
@@ -25,7 +31,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources.store import Store
 from .packing import (
     BODY,
     PACKED,
@@ -38,14 +43,16 @@ from .packing import (
     key_array,
     keys,
     opened,
+    partitions,
     shard_count,
     small,
     thaw,
     thaw_words,
+    word_bytes,
 )
 from .text import binary_array, blocks, bound_batches, numbered, output, pieces
 
-KNOWN_PIECES = 1_000_000  # encoded pieces a task remembers at once
+KNOWN_PIECES = 250_000  # encoded pieces a task remembers at once
 
 
 def read_ranks(path: str) -> bytes:
@@ -84,26 +91,32 @@ def encode(docs: DataFrame, ranks: bytes, id_col: str = "doc_id", text_col: str
     shards = shard_count(spark)
     shared = spark.sparkContext.broadcast(ranks)
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers = block_numbers()
-        for rows in blocks(batches, "text"):
-            block = next(numbers)
+    def cut(batches: Iterator[pa.RecordBatch]):
+        for block, rows in zip(block_numbers(), blocks(batches, "text")):
             values, first = pieces(rows["text"])
             distinct, codes = numbered(values)
             home = np.fromiter((xxhash.xxh32_intdigest(x) for x in distinct.to_pylist()), np.uint32, len(distinct)) % shards
             order = pc.sort_indices(
                 pa.table({"shard": home, "word": distinct}), [("shard", "ascending"), ("word", "ascending")]
             ).to_numpy()
-            place = np.empty(len(order), np.int32)
-            place[order] = np.arange(len(order), dtype=np.int32)
-            body = freeze(**keys(rows["id"]), first=np.diff(first), codes=place[codes])
             distinct = distinct.take(pa.array(order))
-            names, begin = dealt(home[order])
+            yield block, rows, first, codes, order, distinct, home[order], xxhash.xxh3_64_intdigest(word_bytes(distinct)[1])
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, _, _, _, _, distinct, home, digest in cut(batches):
+            names, begin = dealt(home)
             data = [
-                freeze_words(distinct.slice(a, b - a))
+                freeze_words(distinct.slice(a, b - a), digest=digest)
                 for a, b in zip(begin, np.append(begin[1:], len(distinct)))
             ]
-            yield output(PACKED_ARROW, block=[block] * (len(names) + 1), shard=[BODY, *names.tolist()], data=[body, *data])
+            yield output(PACKED_ARROW, block=[block] * len(names), shard=names, data=data)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, rows, first, codes, order, _, _, digest in cut(batches):
+            place = np.empty(len(order), np.int32)
+            place[order] = np.arange(len(order), dtype=np.int32)
+            body = freeze(**keys(rows["id"]), first=small(np.diff(first)), codes=place[codes], digest=digest)
+            yield output(PACKED_ARROW, block=[block], shard=[BODY], data=[body])
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shared.value)
@@ -114,19 +127,23 @@ def encode(docs: DataFrame, ranks: bytes, id_col: str = "doc_id", text_col: str
                 if len(known) > KNOWN_PIECES:
                     known.clear()
                 found = []
-                for piece in thaw_words(thaw(data)).to_pylist():
+                parts = thaw(data)
+                for piece in thaw_words(parts).to_pylist():
                     ids = known.get(piece)
                     if ids is None:
                         ids = known[piece] = encoder._encode_single_piece(piece)
                     found.append(ids)
                 flat = np.fromiter((i for ids in found for i in ids), np.int32)
-                answers.append(freeze(lengths=small(np.array([len(x) for x in found])), ids=small(flat)))
+                lengths = small(np.array([len(x) for x in found]))
+                answers.append(freeze(lengths=lengths, ids=small(flat), digest=parts["digest"]))
             yield output(PACKED_ARROW, block=batch["block"], shard=batch["shard"], data=answers)
 
     result = pa.schema([("id", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
     def place(table: pa.Table) -> pa.Table:
-        _, body, answers = opened(table)
+        block, body, answers = opened(table)
+        if any(x["digest"] != body["digest"] for x in answers) or sum(len(x["lengths"]) for x in answers) <= body["codes"].max(initial=-1):
+            raise ValueError(f"block {block} was read differently the second time; store the input first")
         lengths = np.concatenate([x["lengths"] for x in answers]) if answers else np.zeros(0, np.int64)
         ids = np.concatenate([x["ids"] for x in answers]) if answers else np.zeros(0, np.int64)
         offsets = np.zeros(len(lengths) + 1, np.int64)
@@ -139,14 +156,10 @@ def encode(docs: DataFrame, ranks: bytes, id_col: str = "doc_id", text_col: str
         rows = pa.ListArray.from_arrays(pa.array(edges), placed.values)
         return pa.table([key_array(body), rows], schema=result)
 
-    packed = Store(spark).put(
-        docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(pack, PACKED),
-        "pieces",
-    )
-    asked = packed.filter(F.col("shard") != BODY).repartition(shards // 4, "shard")
-    answers = asked.mapInArrow(merge, PACKED)
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    asked = rows.mapInArrow(ask, PACKED).repartition(partitions(spark), "shard")
     return (
-        by_block(packed.filter(F.col("shard") == BODY), answers)
+        by_block(rows.mapInArrow(keep, PACKED), asked.mapInArrow(merge, PACKED))
         .applyInArrow(place, "id long, ids array<int>")
         .withColumnRenamed("id", id_col)
     )

@@ -146,7 +146,7 @@ def matches(index: Index, phrases: DataFrame, store: Store, slop: int = SLOP) ->
     live = store.put(live, "live_windows")
     called = live.join(
         index.postings.select("block", F.col("term").alias("rarest")), "rarest"
-    ).select("block", "item", "terms", "offsets")
+    ).select(F.col("block").alias("called"), "item", "terms", "offsets")
     needed = live.select(F.explode("terms").alias("term")).distinct()
     lists = index.postings.join(needed, "term", "left_semi").select(
         "block", "term", "at", F.lit(None).cast("array<long>").alias("ids")
@@ -196,7 +196,7 @@ def matches(index: Index, phrases: DataFrame, store: Store, slop: int = SLOP) ->
         docs = sorted(tainted.keys() | near_in.keys())
         return pa.table(
             [
-                pa.array([asked["block"][0].as_py()] * len(docs), pa.int64()),
+                pa.array([asked["called"][0].as_py()] * len(docs), pa.int64()),
                 pa.array(docs, pa.int32()),
                 pa.array([int(hit[first[d + 1] - 1] - hit[first[d]]) for d in docs], pa.int64()),
                 pa.array([sorted(tainted.get(d, set()) - {None}) for d in docs], pa.list_(pa.int64())),
@@ -205,7 +205,7 @@ def matches(index: Index, phrases: DataFrame, store: Store, slop: int = SLOP) ->
             schema=result,
         )
 
-    return called.groupBy("block").cogroup(lists.groupBy("block")).applyInArrow(
+    return called.groupBy("called").cogroup(lists.groupBy("block")).applyInArrow(
         intersect, "block long, doc int, n_hit long, items array<long>, n_near long"
     )
 

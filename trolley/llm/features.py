@@ -48,7 +48,11 @@ def vocabulary(texts: pa.ChunkedArray, useful: np.ndarray | None = None):
     return row, feature, np.ones(len(row))
 
 
-_RUNS = [(re.compile(pattern), mark) for pattern, mark in ((rb"[a-z\x80-\xff]+", b"a"), (rb"[A-Z]{2,}", b"A"), (rb"[0-9]+", b"0"))]
+_RUNS = [
+    (re.compile(pattern), mark)
+    for pattern, mark in ((rb"[A-Z]?[a-z\x80-\xff]+", b"a"), (rb"[A-Z]{2,}", b"A"), (rb"[0-9]+", b"0"))
+]
+LEVELS = (1 / 32, 1 / 8, 1 / 2)
 
 
 def _shape(word: bytes) -> bytes:
@@ -58,21 +62,28 @@ def _shape(word: bytes) -> bytes:
 
 
 def style(texts: pa.ChunkedArray, useful: np.ndarray | None = None):
-    """Which words and beginnings a text has, and the square root of the share
-    of each shape of token, an upper-case or broken token for instance."""
-    row, feature, value = vocabulary(texts, useful)
+    """Which words and beginnings a text has; and of each shape of token, such
+    as upper case with exclamation marks or the token before once more, whether
+    it makes up a 32nd, an 8th, a half of the tokens."""
+    row, feature, _ = vocabulary(texts, useful)
     found = words(texts, SOLID)
     distinct, codes = numbered(found.values())
-    shapes = [_shape(w) for w in distinct.to_pylist()]
-    keys = _hashed(shapes, 99)
-    wanted = np.ones(len(shapes), bool) if useful is None else useful[keys]
-    at = np.flatnonzero(wanted[codes])
-    pair, count = np.unique(found.owner()[at] * DIMENSIONS + keys[codes[at]], return_counts=True)
-    lengths = np.diff(found.first)
-    share = np.sqrt(count / np.maximum(lengths[pair // DIMENSIONS], 1))
-    # A shape and a word that hash alike add up.
-    rows = np.concatenate([row, pair // DIMENSIONS])
-    features = np.concatenate([feature, pair % DIMENSIONS])
-    both, inverse = np.unique(rows * DIMENSIONS + features, return_inverse=True)
-    summed = np.bincount(inverse, np.concatenate([value, share]), minlength=len(both))
-    return both // DIMENSIONS, both % DIMENSIONS, summed
+    spelt = distinct.to_pylist()
+    shapes = {shape: i for i, shape in enumerate(dict.fromkeys(map(_shape, spelt)))}
+    kind = np.fromiter((shapes[_shape(w)] for w in spelt), np.int64, len(spelt))
+    owner, lengths = found.owner(), np.diff(found.first)
+    again = np.flatnonzero((codes[1:] == codes[:-1]) & (owner[1:] == owner[:-1])) + 1
+    width = len(shapes) + 1  # the last for a repeated token
+    pair, count = np.unique(
+        np.concatenate([owner * width + kind[codes], owner[again] * width + len(shapes)]), return_counts=True
+    )
+    share = count / np.maximum(lengths[pair // width], 1)
+    names = [*shapes, b"\n"]
+    rows, features = [row], [feature]
+    for number, level in enumerate(LEVELS):
+        keys = _hashed(names, 100 + number)
+        at = np.flatnonzero(share >= level)
+        rows.append(pair[at] // width)
+        features.append(keys[pair[at] % width])
+    row, feature = _present(np.concatenate(rows), np.concatenate(features))
+    return row, feature, np.ones(len(row))

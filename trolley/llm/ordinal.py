@@ -37,12 +37,12 @@ Featurizer = Callable[[pa.ChunkedArray], tuple[np.ndarray, np.ndarray, np.ndarra
 @dataclass(frozen=True)
 class Settings:
     sample: int = 20_000
-    features: int = 4_096
+    features: int = 512
     least_rows: int = 5  # that a feature occurs in
-    least_association: float = 20.0  # chi-squared
-    steps: int = 60
-    rate: float = 0.25
-    penalty: float = 1e-3
+    least_association: float = 50.0  # chi-squared
+    steps: int = 80
+    rate: float = 0.3
+    penalty: float = 1e-4
     partitions: int = 8
 
 
@@ -100,9 +100,10 @@ def training_rows(
         .join(sample.withColumnRenamed("doc_id", "id"), "id")
         .select("id", "grade", "text")
     )
-    return store.put(
-        chosen.mapInArrow(extract, "id long, grade int, features array<int>, values array<float>"), "sample"
-    )
+    extracted = chosen.mapInArrow(extract, "id long, grade int, features array<int>, values array<float>")
+    # Copies of a text would lend its chance words the weight of evidence.
+    once = extracted.groupBy("grade", "features", "values").agg(F.min("id").alias("id"))
+    return store.put(once, "sample")
 
 
 def fit(rows: DataFrame, settings: Settings, store: Store) -> Model:
@@ -125,7 +126,6 @@ def fit(rows: DataFrame, settings: Settings, store: Store) -> Model:
         * total
         / F.lit(float(max(above[k] * (total - above[k]), 1)))
         / (n * F.greatest(total - n, F.lit(1)))
-        / total
         for k in range(top)
     ]
     strength = F.greatest(*chi) if len(chi) > 1 else chi[0]

@@ -34,7 +34,11 @@ SHARDS_PER_PARTITION = 4
 
 def shard_count(spark: SparkSession) -> int:
     """Follows the shuffle partitions, which follow the size of the data."""
-    return SHARDS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return SHARDS_PER_PARTITION * partitions(spark)
+
+
+def partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def block_numbers():

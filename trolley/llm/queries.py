@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, simhash
+from . import bpe, decontam, pii, quality, simhash, toxicity
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -24,9 +25,35 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), bpe.read_ranks(VOCABULARY))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymize(rows, kinds_col="kinds").select(
+        "doc_id",
+        "text",
+        F.size("kinds").cast("long").alias("n_private"),
+        F.array_join(F.array_sort(F.array_distinct("kinds")), ",").alias("kinds"),
+    )
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_byte_bpe": op2_byte_bpe,
+    "op4_quality": op4_quality,
+    "op5_pii": op5_pii,
+    "op6_toxicity": op6_toxicity,
+    "op9_decontamination": op9_decontamination,
 }
 
 SQL: dict[str, str] = {}

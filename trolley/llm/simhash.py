@@ -112,7 +112,7 @@ def links(fps: DataFrame, store: Store, max_distance: int = 2) -> DataFrame:
     hot = store.put(hot, "hot_buckets")
 
     cold = table.join(hot, ["segment", "value"], "left_anti")
-    near = F.bit_count(F.col("fp").bitwiseXOR("other")) <= max_distance
+    near = F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))) <= max_distance
     pairs = probes.join(cold, ["segment", "value"]).filter((F.col("fp") != F.col("other")) & near)
     pairs = pairs.select(F.col("node").alias("a"), F.col("other_node").alias("b"))
 

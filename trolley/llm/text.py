@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import SparkSession
 
-BLOCK_BYTES = 8 << 20  # of text in one block; a longer text is a block by itself
+BLOCK_BYTES = 4 << 20  # of text in one block; a longer text is a block by itself
 
 _BYTES = np.arange(256)
 #: Words between white space: [^\x20\x09-\x0D]+
