@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, pii, quality, simhash, toxicity
+from . import bpe, decontam, licenses, pii, quality, simhash, substring, suffix_tree, topk, toxicity
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -25,6 +25,10 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), bpe.read_ranks(VOCABULARY))
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.report(table(spark, sf_dir, "documents"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -43,17 +47,33 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.report(table(spark, sf_dir, "embeddings"))
+
+
+def op8_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.report(table(spark, sf_dir, "documents"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_licenses": op3_licenses,
     "op4_quality": op4_quality,
     "op5_pii": op5_pii,
     "op6_toxicity": op6_toxicity,
+    "op7_topk": op7_topk,
+    "op8_suffix_tree": op8_suffix_tree,
     "op9_decontamination": op9_decontamination,
+    "op10_substring": op10_substring,
 }
 
 SQL: dict[str, str] = {}
