@@ -100,7 +100,7 @@ def links(fps: DataFrame, store: Store, max_distance: int = 2) -> DataFrame:
     for number, (segment, radius) in enumerate(zip(segments, _balls(max_distance))):
         flips = [0] * (radius >= 0) + [1 << bit for bit in range(SEGMENT)] * (radius >= 1)
         if flips:
-            ball = F.transform(F.array(*map(F.lit, flips)).cast("array<long>"), lambda m, s=segment: s.bitwiseXOR(m))
+            ball = F.transform(F.array(*map(F.lit, flips)).cast("array<long>"), segment.bitwiseXOR)
             probes.append(fps.select("fp", "node", F.lit(number).alias("segment"), F.explode(ball).alias("value")))
     probes = probes[0] if len(probes) == 1 else probes[0].unionByName(probes[1])
     table = fps.select(
