@@ -26,3 +26,15 @@ def session() -> SparkSession:
 @pytest.fixture(scope="session")
 def spark():
     return session()
+
+
+@pytest.fixture(scope="session", autouse=True)
+def small_ensembles():
+    """A few rounds and trees in the registered model queries: the tests look
+    at their results' form, and at models of given settings."""
+    from trolley.operators import learn
+    from trolley.workspace import Workspace
+
+    for settings in (learn.SUBMIT, learn.CROSS_VALIDATE, learn.CATEGORICAL):
+        settings["maxIter"] = 5
+    Workspace.trees = 2

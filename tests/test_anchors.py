@@ -7,14 +7,14 @@ from trolley.workspace import workspace
 
 ANCHORS = {
     "sf0.001": dict(
-        orders=(1347, 99, 49), users=148, prior=(5291, 860), train=(387, 115), matrix=4431,
-        train_rows=(2949, 115), cart=13029.25, ratio=780.1573, streak=(585, 3), truth=(98, 33),
-        f1=0.052288885, dims=(100, 25, 6), empty=27,
+        orders=(1350, 100, 50), users=150, prior=(5263, 921), train=(391, 124), matrix=4342,
+        train_rows=(2872, 124), cart=12705.1, ratio=825.4079, streak=(592, 3), truth=(99, 28),
+        f1=0.07162308127220408, dims=(106, 25, 5), empty=25,
     ),
     "sf0.01": dict(
-        orders=(13468, 987, 493), users=1480, prior=(52892, 8406), train=(3819, 1122),
-        matrix=44486, train_rows=(29682, 1122), cart=130932.5333, ratio=7606.7787,
-        streak=(5966, 3), truth=(963, 297), f1=0.087343363, dims=(100, 24, 6), empty=257,
+        orders=(13500, 1000, 500), users=1500, prior=(53283, 6183), train=(3908, 868),
+        matrix=47100, train_rows=(31392, 868), cart=139086.3667, ratio=5885.698,
+        streak=(5986, 3), truth=(976, 422), f1=0.14476171337022264, dims=(150, 25, 5), empty=248,
     ),
 }
 

@@ -54,6 +54,38 @@ def test_folds_score_every_row_once(ws):
     assert lists.count() == ws.train.select("order_id").distinct().count()
 
 
+def test_cross_validated_trees_split(ws):
+    """Every fold's model tells reorders apart, and its lists score otherwise
+    than the lists of a model that predicts nothing."""
+    scored = learn.gbt_cv_scores(ws.train, ws.store, params={"maxIter": 10}).cache()
+    for fold in range(4):
+        held = scored.filter(F.col("fold") == fold)
+        assert held.select("score").distinct().count() > 10
+        assert BinaryClassificationEvaluator(rawPredictionCol="score").evaluate(held) > 0.55
+    some = learn.folded_lists(scored, 0.1)
+    none = learn.folded_lists(scored, 1.0)
+    assert none.filter("products <> 'None'").isEmpty()
+    assert metrics.mean_f1(ws.truth, some).first() != metrics.mean_f1(ws.truth, none).first()
+
+
+def test_the_fit_does_not_depend_on_the_layout(ws):
+    trees = [
+        learn.gbt_train(layout, {**QUICK, "maxIter": 5}).toDebugString.splitlines()[1:]
+        for layout in (ws.vectors.coalesce(1), ws.vectors.repartition(5))
+    ]
+    assert trees[0] == trees[1]
+
+
+def test_slowly_improving_rounds_are_kept(ws):
+    """The best round counts even where each improves by less than 1 %."""
+    assert learn.best_round([1.0, 0.995, 0.99, 0.985, 0.99, 0.985]) == 4
+    seen, held = matrix_ops.split_rows(ws.train, ["user_id"])
+    params = {"maxIter": 12, "maxDepth": 3, "stepSize": 0.01}
+    model, scored = learn.gbt_categorical(seen, held, params=params)
+    assert model.getNumTrees > 6
+    assert scored.count() == held.count()
+
+
 def test_round_sweep(ws):
     swept = learn.gbt_round_sweep(
         ws.train, ws.truth, ws.store, rounds=[1, 2], k=2, params={"maxDepth": 2}

@@ -4,6 +4,7 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from trolley.operators import ranking
@@ -76,22 +77,69 @@ def test_ordinals_and_streaks_in_blocks(ws):
     same(features.order_streaks(ws.tables, width=3), features.order_streaks(ws.tables))
 
 
-def test_hot_customers_are_numbered_the_same(spark, monkeypatch):
+def plainly_numbered(orders):
+    """Number, eval set and previous day of each order by one window a customer."""
+    along = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
+    last = Window.partitionBy("o_custkey")
+    number, size = F.row_number().over(along), F.count("*").over(last)
+    gap = F.datediff(F.to_date("o_orderdate"), F.lag(F.to_date("o_orderdate")).over(along)) % 31
+    return orders.select(
+        F.col("o_orderkey").alias("order_id"),
+        number.cast("int").alias("order_number"),
+        (number < size).alias("prior"),
+        gap.cast("double").alias("gap"),
+    )
+
+
+def numbered(orders):
+    placed = fixtures.numbered_orders(orders)
+    return placed.select(
+        "order_id",
+        "order_number",
+        (F.col("eval_set") == "prior").alias("prior"),
+        F.col("days_since_prior_order").alias("gap"),
+    )
+
+
+def test_every_customer_is_numbered(spark):
     orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
-    plain = fixtures.numbered_orders(orders)
-    monkeypatch.setattr(fixtures, "KEYS_PER_BLOCK", 64)
-    same(fixtures.numbered_orders(orders, hot=5), plain)
+    assert fixtures.numbered_orders(orders).count() == orders.count()
+    same(numbered(orders), plainly_numbered(orders))
+
+
+def test_numbers_follow_the_time_of_day(spark):
+    at = dt.datetime(1996, 1, 1)
+    data = [(1 << 25, 1), (5, 2), ((1 << 24) + 1, 3), (7, 3), (6, 30)]
+    orders = spark.createDataFrame(
+        [(key, 1, at + dt.timedelta(hours=h)) for key, h in data],
+        "o_orderkey long, o_custkey long, o_orderdate timestamp",
+    )
+    same(numbered(orders), plainly_numbered(orders))
+    got = {r.order_id: r.order_number for r in numbered(orders).collect()}
+    assert got == {1 << 25: 1, 5: 2, 7: 3, (1 << 24) + 1: 4, 6: 5}
 
 
 def test_one_customer_with_a_third_of_all_orders(spark):
     day = dt.datetime(1996, 1, 1)
     rng = random.Random(5)
     data = [
-        (i, 0 if rng.random() < 0.34 else 1 + rng.randrange(40), day + dt.timedelta(days=rng.randrange(90)))
+        (i, 0 if rng.random() < 0.34 else 1 + rng.randrange(40), day + dt.timedelta(hours=rng.randrange(2000)))
         for i in range(1500)
     ]
     orders = spark.createDataFrame(data, "o_orderkey long, o_custkey long, o_orderdate timestamp")
-    same(fixtures.numbered_orders(orders, hot=100), fixtures.numbered_orders(orders))
+    same(numbered(orders), plainly_numbered(orders))
+
+
+def test_every_line_finds_its_product(spark, ws):
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    parts = spark.read.parquet("/root/testdata/sf0.001/part.parquet")
+    sold = lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
+    assert sold.count() == lines.count()
+    assert ws.tables["products"].count() == parts.select("p_brand", "p_type").distinct().count()
+    kinds = sold.select("l_orderkey", "p_brand", "p_type").distinct()
+    last = ws.tables["orders"].filter("eval_set = 'test'").select(F.col("order_id").alias("l_orderkey"))
+    kept = ws.tables["prior"].count() + ws.tables["train"].count()
+    assert kept == kinds.join(last, "l_orderkey", "left_anti").count()
 
 
 def test_literal_and_rewritten_product_counts(ws):

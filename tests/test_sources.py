@@ -68,14 +68,35 @@ def test_features_from_files(spark, folder):
     assert (row["aisle_id"], row["department_id"], row["_user_reorder_ratio"]) == (0, 0, 1.0)
 
 
+def test_quotes_commas_and_large_ids(spark, folder, tmp_path):
+    names = ['Say "Cheese", Please', 'Pizza, 12" Thin', '"', "plain", "a,b"]
+    rows = "".join(f'{70_000_000_000 + i},"{n.replace(chr(34), chr(34) * 2)}",5,6\n' for i, n in enumerate(names))
+    (tmp_path / "products.csv").write_text("product_id,product_name,aisle_id,department_id\n" + rows)
+    got = load_tables(spark, folder)["products"].orderBy("product_id").collect()
+    assert [r.product_name for r in got] == names
+    assert [r.product_id for r in got] == [70_000_000_000 + i for i in range(5)]
+    assert all((r.aisle_id, r.department_id) == (5, 6) for r in got)
+
+
+@pytest.mark.parametrize("row", ["x,7,prior,1,0,8,1.0", "1,7,prior,one,0,8,1.0"])
+def test_a_malformed_row_is_an_error(spark, folder, tmp_path, row):
+    with (tmp_path / "orders.csv").open("a") as file:
+        file.write(row + "\n")
+    with pytest.raises(Exception, match="MALFORMED|FAILED_READ|malformed"):
+        load_tables(spark, folder)["orders"].collect()
+
+
 def test_dataset_falls_back_to_csv(spark, tmp_path):
     folder = str(tmp_path)
+    from pyspark.sql import types as T
+
     (tmp_path / "test.csv").write_text("a,b\n1,x\n")
+    types = T.StructType().add("a", "long").add("b", "string")
     train = spark.createDataFrame([(1, 2.0)], "a int, b double")
     save_dataset(folder, train, None)
-    got_train, got_test = load_dataset(spark, folder)
+    got_train, got_test = load_dataset(spark, folder, types)
     assert got_train.collect() == train.collect()
-    assert got_test.dtypes == [("a", "int"), ("b", "string")]
+    assert got_test.dtypes == [("a", "bigint"), ("b", "string")]
 
 
 def test_cache_builds_once(spark, tmp_path):

@@ -13,10 +13,6 @@ from pyspark.sql import functions as F
 from .joins import Tables
 from .ranking import share
 
-# The covariance of the aisle counts is a d x d matrix on the driver.
-MAX_AISLES = 10_000
-
-
 def user_aisle_counts(tables: Tables, lines: DataFrame | None = None) -> DataFrame:
     """(user_id, aisle, n) for every aisle a user bought from, over all prior
     lines or the given ones.
@@ -41,7 +37,8 @@ def user_aisle_counts(tables: Tables, lines: DataFrame | None = None) -> DataFra
 
 
 def bought_aisles(tables: Tables) -> list[str]:
-    """Names of the aisles with prior lines, sorted: a dimension-sized list."""
+    """Names of the aisles with prior lines, sorted: one per column of the
+    crosstab, whose covariance the component analysis holds on the driver."""
     sold = (
         tables["prior"]
         .select("product_id")
@@ -51,12 +48,8 @@ def bought_aisles(tables: Tables) -> list[str]:
         .select("aisle")
         .distinct()
         .orderBy("aisle")
-        .limit(MAX_AISLES + 1)
     )
-    names = [r["aisle"] for r in sold.collect()]
-    if len(names) > MAX_AISLES:
-        raise ValueError(f"more than {MAX_AISLES} aisles: use the long counts instead")
-    return names
+    return [r["aisle"] for r in sold.collect()]
 
 
 def user_aisle_crosstab(counts: DataFrame, aisles: Sequence[str]) -> DataFrame:
@@ -126,14 +119,25 @@ def cluster_profile(counts: DataFrame, segments: DataFrame) -> DataFrame:
         counts.join(member, "user_id").groupBy("segment", "aisle")
         .agg(F.sum("n").alias("_total"))
     )
-    # every aisle is listed for every segment: the few segments are attached
-    # to each aisle as one array
-    every = sized.agg(F.collect_list(F.struct("segment", "_size"))).scalar()
-    cells = (
-        counts.select("aisle").distinct().withColumn("_s", F.explode(every))
-        .select("aisle", "_s.segment", "_s._size")
-    )
-    return cells.join(summed, ["segment", "aisle"], "left").select(
+    # every aisle is listed for every segment: one column for each segment
+    names = [r["segment"] for r in sized.select("segment").orderBy("segment").collect()]
+    if not names:
+        return summed.select("segment", "aisle", F.col("_total").cast("double").alias("mean_count"))
+    wide = summed.groupBy("aisle").pivot("segment", names).agg(F.sum("_total"))
+    wide = wide.toDF("aisle", *[f"_s{i}" for i in range(len(names))])
+    kind = summed.schema["segment"].dataType
+    cells = wide.select(
+        "aisle",
+        F.explode(
+            F.array(
+                *[
+                    F.struct(F.lit(s).cast(kind).alias("segment"), F.col(f"_s{i}").alias("_total"))
+                    for i, s in enumerate(names)
+                ]
+            )
+        ).alias("_cell"),
+    ).select("aisle", "_cell.*")
+    return cells.join(sized, "segment").select(
         "segment",
         "aisle",
         (F.coalesce("_total", F.lit(0)).cast("double") / F.col("_size")).alias("mean_count"),

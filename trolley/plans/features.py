@@ -28,7 +28,7 @@ def purchase_ordinal(tables: Tables, width: int = ORDERS_PER_BLOCK) -> DataFrame
         detail,
         schema.PAIR_KEYS,
         ["order_number"],
-        order_blocks(tables["orders"], width),
+        order_blocks(width),
         position="_user_buy_product_times",
     )
 
@@ -41,7 +41,7 @@ def order_streaks(tables: Tables, width: int = ORDERS_PER_BLOCK) -> DataFrame:
         bought,
         schema.PAIR_KEYS,
         ["order_number"],
-        order_blocks(tables["orders"], width),
+        order_blocks(width),
         descending=True,
         position="_back",
     )

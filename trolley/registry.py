@@ -35,10 +35,6 @@ DIGITS = 9
 # Few users of the derived tables reorder only, so the habit queries also run
 # at a share of reorder-only orders that some users reach.
 LENIENT = 0.25
-# Rounds of boosting in the registered model queries, where the result is
-# checked for its form only; the operators default to the full settings.
-QUICK = {"maxIter": 10}
-
 QUERIES: dict[str, Query] = {}
 
 
@@ -503,30 +499,29 @@ def cluster_top_aisles_kmeans(ws):
 def gbt_train(ws):
     """Submission lists of a model fitted on the whole train matrix."""
     sample = ws.tables["sample_submission"]
-    return learn.gbt_submission(ws.train, ws.test, sample, ws.store, QUICK)
+    return learn.gbt_submission(ws.train, ws.test, sample, ws.store, model=ws.booster)
 
 
 @_query
 def gbt_categorical_lists(ws):
     """Lists of every test order from the categorical model."""
-    params = {**QUICK, "maxDepth": 5}
-    scored = learn.gbt_categorical(ws.train, ws.test, params=params, validate=False)[1]
+    scored = learn.gbt_categorical(ws.train, ws.test, validate=False)[1]
     return decode.complete_lists(scored, LIMIT)
 
 
 @_query
 def gbt_score(ws):
-    return learn.gbt_score(learn.gbt_train(ws.vectors, QUICK), ws.test_vectors)
+    return learn.gbt_score(ws.booster, ws.test_vectors)
 
 
 @_query
 def feature_importance(ws):
-    return learn.feature_importance(learn.gbt_train(ws.vectors, QUICK), ws.vectors)
+    return learn.feature_importance(ws.booster, ws.vectors)
 
 
 @_query
 def gbt_cv_f1(ws):
-    return learn.gbt_cv_f1(ws.train, ws.truth, ws.store, params=QUICK)
+    return learn.gbt_cv_f1(ws.train, ws.truth, ws.store)
 
 
 @_query
@@ -537,7 +532,7 @@ def gbt_rounds(ws):
 @_query
 def gbt_categorical(ws):
     seen, held = matrix_ops.split_rows(ws.train, ["user_id"])
-    return learn.gbt_categorical(seen, held, params={**QUICK, "maxDepth": 5})[1]
+    return learn.gbt_categorical(seen, held)[1]
 
 
 @_query
@@ -554,7 +549,7 @@ def ridge_grid(ws):
 
 
 def _learners(ws, *names):
-    every = learn.base_learners(ws.ridge_unit, trees=5)
+    every = learn.base_learners(ws.ridge_unit, ws.trees)
     return {n: every[n] for n in names}
 
 
@@ -572,16 +567,16 @@ def oof_stack(ws):
     models = _learners(ws, "boosted", "ridge")
     meta = _learners(ws, "ridge")["ridge"]
     return stacking.oof_stack(
-        ws.vectors, ws.test_vectors, models, meta, ws.store, k=3, with_original=False
+        ws.vectors, ws.test_vectors, models, meta, ws.store, with_original=False
     ).test
 
 
 @_query
 def oof_stack_scores(ws):
-    models = _learners(ws, "ridge", "lasso", "elastic")
+    models = _learners(ws, "ridge", "lasso", "lasso_cv")
     meta = _learners(ws, "ridge")["ridge"]
     return stacking.oof_stack(
-        ws.vectors, ws.test_vectors, models, meta, ws.store, k=3
+        ws.vectors, ws.test_vectors, models, meta, ws.store
     ).scores
 
 
@@ -590,7 +585,7 @@ def oof_stack_train(ws):
     models = _learners(ws, "ridge", "lasso")
     meta = _learners(ws, "ridge")["ridge"]
     return stacking.oof_stack(
-        ws.vectors, ws.test_vectors, models, meta, ws.store, k=3
+        ws.vectors, ws.test_vectors, models, meta, ws.store
     ).oof
 
 
@@ -600,7 +595,7 @@ def oof_stack_three_levels(ws):
     second = {"second_boosted": _learners(ws, "boosted")["boosted"]}
     meta = _learners(ws, "ridge")["ridge"]
     return stacking.oof_stack(
-        ws.vectors, ws.test_vectors, models, meta, ws.store, k=3, second=second
+        ws.vectors, ws.test_vectors, models, meta, ws.store, second=second
     ).test
 
 
@@ -624,7 +619,6 @@ def oof_stack_extra(ws):
         models,
         meta,
         ws.store,
-        k=3,
         extra_cols=["taste"],
     ).test
 
@@ -640,14 +634,16 @@ def split_rows(ws):
 
 def _csv_copy(ws: Workspace) -> str:
     """The basket tables as CSV files, as a user would hold them."""
-    folder = f"{ws.store.root}/csv"
+    folder = ws.store.path("csv")
     for name, (file, _) in schema.CSV_FILES.items():
-        ws.tables[name].select(*_columns(name)).write.mode("overwrite").option(
-            "header", True
-        ).csv(f"{folder}/{file}")
+        _write_csv(ws.tables[name].select(*_columns(name)), f"{folder}/{file}")
     return folder
 
 
+def _write_csv(frame: DataFrame, path: str) -> None:
+    frame.write.options(header=True, quote='"', escape='"').csv(path)
+
+
 def _columns(table: str) -> list[str]:
     return schema.CSV_FILES[table][1].fieldNames()
 
@@ -665,34 +661,34 @@ def load_tables_profile(ws):
 
 @_query
 def inferred_csv(ws):
-    path = f"{ws.store.root}/inferred.csv"
-    ws.tables["products"].write.mode("overwrite").option("header", True).csv(path)
+    path = ws.store.path("inferred.csv")
+    _write_csv(ws.tables["products"], path)
     return csv_tables.scan_csv(ws.spark, path)
 
 
 @_query
 def dataset_roundtrip(ws):
-    path = f"{ws.store.root}/dataset"
+    path = ws.store.path("dataset")
     datasets.save_dataset(path, ws.train.select(*schema.MATRIX), ws.test)
     return datasets.load_dataset(ws.spark, path)[0]
 
 
 @_query
 def matrix_cache(ws):
-    path = f"{ws.store.root}/matrix_cache"
+    path = ws.store.path("matrix_cache")
     return datasets.cached(ws.spark, path, lambda: ws.matrix.select(*schema.MATRIX))
 
 
 @_query
 def submission_csv(ws):
-    path = f"{ws.store.root}/submission.csv"
+    path = ws.store.path("submission.csv")
     datasets.write_submission(submission(ws), path)
     return csv_tables.load_order_lists(ws.spark, path)
 
 
 @_query
 def ground_truth_csv(ws):
-    path = f"{ws.store.root}/truth.csv"
+    path = ws.store.path("truth.csv")
     datasets.write_ground_truth(ws.truth, path)
     return csv_tables.load_order_lists(ws.spark, path)
 

@@ -21,12 +21,20 @@ f_orders AS (
          CAST(rn AS INT) AS order_number, CAST(dayofweek(d) AS INT) AS order_dow,
          CAST(order_id % 24 AS INT) AS order_hour_of_day,
          CAST(date_diff('day', pd, d) % 31 AS DOUBLE) AS days_since_prior_order
-  FROM b WHERE n >= 4),
+  FROM b),
+kinds AS (
+  SELECT *, CAST(row_number() OVER (ORDER BY aisle_id, p_type) AS INT) AS product_id
+  FROM (SELECT CAST(replace(p_brand, 'Brand#', '') AS INT) AS aisle_id, p_type,
+               arg_min(p_name, p_partkey) AS product_name
+        FROM part GROUP BY p_brand, p_type) t),
+sold AS (
+  SELECT l.l_orderkey AS order_id, k.product_id, min(l.l_linenumber) AS ln
+  FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey
+  JOIN kinds k ON k.aisle_id = CAST(replace(p.p_brand, 'Brand#', '') AS INT) AND k.p_type = p.p_type
+  GROUP BY l.l_orderkey, k.product_id),
 v_line AS (
   SELECT o.user_id, o.order_id, o.order_number, o.eval_set, l.product_id, l.ln
-  FROM (SELECT l_orderkey AS order_id, l_partkey % 100 AS product_id, min(l_linenumber) AS ln
-        FROM lineitem GROUP BY l_orderkey, l_partkey % 100) l
-  JOIN f_orders o ON o.order_id = l.order_id),
+  FROM sold l JOIN f_orders o ON o.order_id = l.order_id),
 v_op AS (
   SELECT order_id, product_id,
          CAST(row_number() OVER (PARTITION BY order_id ORDER BY ln, product_id) AS INT) AS add_to_cart_order,
@@ -36,16 +44,13 @@ v_op AS (
   FROM v_line),
 f_prior AS (SELECT order_id, product_id, add_to_cart_order, reordered FROM v_op WHERE eval_set = 'prior'),
 f_train AS (SELECT order_id, product_id, add_to_cart_order, reordered FROM v_op WHERE eval_set = 'train'),
-f_departments AS (
-  SELECT CAST(row_number() OVER (ORDER BY p_type) AS INT) AS department_id, p_type AS department
-  FROM (SELECT DISTINCT p_type FROM part WHERE p_partkey < 100) t),
-f_aisles AS (
-  SELECT DISTINCT CAST(replace(p_brand, 'Brand#', '') AS INT) AS aisle_id, p_brand AS aisle
-  FROM part WHERE p_partkey < 100),
+f_aisles AS (SELECT DISTINCT aisle_id, 'Brand#' || aisle_id AS aisle FROM kinds),
 f_products AS (
-  SELECT CAST(p.p_partkey AS INT) AS product_id, p.p_name AS product_name,
-         CAST(replace(p.p_brand, 'Brand#', '') AS INT) AS aisle_id, d.department_id
-  FROM part p JOIN f_departments d ON p.p_type = d.department WHERE p.p_partkey < 100),
+  SELECT product_id, product_name, aisle_id, CAST((aisle_id - 1) // 5 + 1 AS INT) AS department_id FROM kinds),
+f_departments AS (
+  SELECT DISTINCT department_id,
+         'Brand#' || (department_id * 5 - 4) || '-' || (department_id * 5) AS department
+  FROM f_products),
 f_sample AS (SELECT order_id, 'None' AS products FROM f_orders WHERE eval_set = 'test'),
 y AS (SELECT user_id, max(order_number) AS lastn FROM f_orders WHERE eval_set = 'prior' GROUP BY user_id),
 z AS (
@@ -405,7 +410,7 @@ FROM f_train t LEFT JOIN (SELECT order_id, count(add_to_cart_order) AS c, avg(ad
 SELECT product_id, CAST(dense_rank() OVER (ORDER BY aisle_id) - 1 AS INT) AS aisle_id,
        CAST(dense_rank() OVER (ORDER BY department_id) - 1 AS INT) AS department_id FROM f_products
 -- load_tables
-SELECT CAST(order_id AS INT) AS order_id, user_id, eval_set, CAST(order_number AS SMALLINT) AS order_number,
+SELECT order_id, user_id, eval_set, order_number,
        CAST(order_dow AS TINYINT) AS order_dow, CAST(order_hour_of_day AS TINYINT) AS order_hour_of_day,
        days_since_prior_order FROM f_orders
 -- inferred_csv
@@ -503,7 +508,7 @@ SELECT order_id, products FROM picked
 SELECT s.order_id, coalesce(p.products, 'None') AS products
 FROM f_sample s LEFT JOIN picked p ON p.order_id = s.order_id AND p.eval_set = 'test'
 -- submission_csv
-SELECT CAST(s.order_id AS INT) AS order_id, coalesce(p.products, 'None') AS products
+SELECT s.order_id, coalesce(p.products, 'None') AS products
 FROM f_sample s LEFT JOIN picked p ON p.order_id = s.order_id AND p.eval_set = 'test'
 -- complete_test_lists
 SELECT m.order_id, coalesce(p.products, 'None') AS products
@@ -511,7 +516,7 @@ FROM (SELECT DISTINCT order_id FROM matrix WHERE eval_set = 'test') m LEFT JOIN
 -- ground_truth
 SELECT * FROM truth
 -- ground_truth_csv
-SELECT CAST(order_id AS INT) AS order_id, products FROM truth
+SELECT order_id, products FROM truth
 -- order_f1
 SELECT order_id, round(f1, 9) AS f1 FROM f1
 -- list_overlap

@@ -1,4 +1,5 @@
-"""Column types of the source tables. Read with these; never infer in production."""
+"""Column types of the source tables, ids of 64 bits. Read with these; never infer
+in production."""
 
 from pyspark.sql import types as T
 
@@ -8,39 +9,38 @@ def _struct(**fields: T.DataType) -> T.StructType:
 
 
 ORDERS = _struct(
-    order_id=T.IntegerType(),
+    order_id=T.LongType(),
     user_id=T.LongType(),
     eval_set=T.StringType(),
-    order_number=T.ShortType(),
+    order_number=T.IntegerType(),
     order_dow=T.ByteType(),
     order_hour_of_day=T.ByteType(),
     days_since_prior_order=T.DoubleType(),
 )
 
-# Product ids are unsigned 16-bit at the source; Spark has no unsigned types.
 ORDER_LINES = _struct(
-    order_id=T.IntegerType(),
-    product_id=T.IntegerType(),
-    add_to_cart_order=T.ShortType(),
+    order_id=T.LongType(),
+    product_id=T.LongType(),
+    add_to_cart_order=T.IntegerType(),
     reordered=T.ByteType(),
 )
 
 PRODUCTS = _struct(
-    product_id=T.IntegerType(),
+    product_id=T.LongType(),
     product_name=T.StringType(),
-    aisle_id=T.IntegerType(),
-    department_id=T.IntegerType(),
+    aisle_id=T.LongType(),
+    department_id=T.LongType(),
 )
 
-AISLES = _struct(aisle_id=T.IntegerType(), aisle=T.StringType())
+AISLES = _struct(aisle_id=T.LongType(), aisle=T.StringType())
 
-DEPARTMENTS = _struct(department_id=T.IntegerType(), department=T.StringType())
+DEPARTMENTS = _struct(department_id=T.LongType(), department=T.StringType())
 
-ORDER_LISTS = _struct(order_id=T.IntegerType(), products=T.StringType())
+ORDER_LISTS = _struct(order_id=T.LongType(), products=T.StringType())
 
 ORDER_STREAKS = _struct(
-    user_id=T.IntegerType(),
-    product_id=T.IntegerType(),
+    user_id=T.LongType(),
+    product_id=T.LongType(),
     order_streak=T.IntegerType(),
 )
 
@@ -101,3 +101,24 @@ MATRIX = (
 MODEL_FEATURES = [
     c for c in MATRIX if c not in PAIR_KEYS + ["order_id", "eval_set", LABEL]
 ]
+
+_COUNTS = {
+    *PAIR_KEYS,
+    *PAIR_FEATURES[:3],
+    *PRODUCT_FEATURES[:4],
+    "_user_total_orders",
+    "_user_total_products",
+    "_user_distinct_products",
+    "order_id",
+    "_up_order_since_last_order",
+    LABEL,
+    "aisle_id",
+    "department_id",
+    "order_streak",
+}
+MATRIX_TYPES = _struct(
+    **{
+        c: T.StringType() if c == "eval_set" else T.LongType() if c in _COUNTS else T.DoubleType()
+        for c in MATRIX
+    }
+)

@@ -8,13 +8,19 @@ from pyspark.sql import types as T
 
 from .. import schema
 
+# A malformed field must not become a NULL that a join then drops. The header is
+# not checked against the types, which name the columns.
+CSV_OPTIONS = {"header": True, "quote": "\"", "escape": "\"", "nanValue": "nan", "mode": "FAILFAST"}
+
 
 def scan_csv(
     spark: SparkSession, path: str, types: T.StructType | None = None
 ) -> DataFrame:
-    """Scan a CSV with a header. Without ``types`` Spark infers them, at the
-    price of a second pass over the file: for ad-hoc use only."""
-    reader = spark.read.option("header", True)
+    """Scan a CSV with a header; a quote inside a quoted field is doubled, and a
+    field that does not fit its type is an error. Without ``types`` Spark
+    infers them, at the price of a second pass over the file: for ad-hoc use
+    only."""
+    reader = spark.read.options(**CSV_OPTIONS)
     if types is None:
         return reader.option("inferSchema", True).csv(path)
     frame = reader.schema(types).csv(path)

@@ -7,9 +7,11 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
-from .csv_tables import scan_csv
+from .. import schema
+from .csv_tables import CSV_OPTIONS, scan_csv
 
 
 def _parquet_or_none(spark: SparkSession, path: str) -> DataFrame | None:
@@ -28,12 +30,15 @@ def save_dataset(path: str, train: DataFrame | None, test: DataFrame | None) ->
             frame.write.mode("overwrite").parquet(f"{path}/{name}_dataset")
 
 
-def load_dataset(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """The processed matrices, or the raw CSV of a set not yet processed."""
+def load_dataset(
+    spark: SparkSession, path: str, types: T.StructType = schema.MATRIX_TYPES
+) -> tuple[DataFrame, DataFrame]:
+    """The processed matrices, or the raw CSV, with the columns ``types``, of a
+    set not yet processed."""
 
     def one(name: str) -> DataFrame:
         stored = _parquet_or_none(spark, f"{path}/{name}_dataset")
-        return stored if stored is not None else scan_csv(spark, f"{path}/{name}.csv")
+        return stored if stored is not None else scan_csv(spark, f"{path}/{name}.csv", types)
 
     return one("train"), one("test")
 
@@ -57,7 +62,7 @@ def write_submission(lists: DataFrame, path: str) -> None:
     are written in parallel: the part files in name order are the sorted file."""
     lists.select("order_id", "products").orderBy("order_id").write.mode(
         "overwrite"
-    ).option("header", True).csv(path)
+    ).options(**{k: CSV_OPTIONS[k] for k in ("header", "quote", "escape")}).csv(path)
 
 
 def write_ground_truth(lists: DataFrame, path: str) -> None:

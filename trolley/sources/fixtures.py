@@ -1,9 +1,9 @@
 """Basket tables derived from star-schema order tables.
 
-Customers with at least ``min_orders`` orders become users, their last order
-is the train or test order, and part keys fold onto a catalogue of
-``catalogue`` products so that repurchases occur. Every order line of those
-users is kept.
+Every customer becomes a user, whose last order is the train or test order.
+Parts of one brand and type are one product, so that repurchases occur; brands
+are aisles, and five consecutive brands a department. Every order and every
+order line is kept.
 """
 
 from __future__ import annotations
@@ -19,48 +19,28 @@ from ..plans.features import order_streaks
 from ..schema import CSV_FILES
 from .store import Store
 
-# A customer with more orders than this is numbered in blocks of one day and
-# KEYS_PER_BLOCK order keys instead of in a single sort.
-HOT_CUSTOMER = 1 << 20
-KEYS_PER_BLOCK = 1 << 24
+BRANDS_PER_DEPARTMENT = 5
 
 
-def numbered_orders(
-    orders: DataFrame, min_orders: int = 4, hot: int = HOT_CUSTOMER
-) -> DataFrame:
-    """Orders with their number per user, eval set and day gap."""
+def numbered_orders(orders: DataFrame) -> DataFrame:
+    """Orders with their number per user, eval set and day gap. Customers are
+    numbered day by day, so that the largest sort is one day of a customer."""
     source = orders.select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("user_id"),
         F.col("o_orderdate").alias("_at"),
         F.to_date("o_orderdate").alias("_day"),
     )
-    heavy = (
-        source.groupBy("user_id")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > hot)
-        .select("user_id", F.lit(True).alias("_hot"))
-    )
-    blocks = {}
-    # heavy customers number at most total / hot; usually there are none
-    if not heavy.isEmpty():
-        source = source.join(heavy, "user_id", "left")
-        blocks = {
-            "_d": F.when(F.col("_hot"), F.unix_date("_day")).otherwise(0),
-            "_k": F.when(
-                F.col("_hot"), F.floor(F.col("order_id") / F.lit(KEYS_PER_BLOCK))
-            ).otherwise(0),
-        }
     placed = position_in_group(
         source,
         ["user_id"],
         ["_at", "order_id"],
-        blocks,
+        {"_d": F.unix_date("_day")},
         position="_rn",
         size="_n",
         previous=("_day", "_prev"),
     )
-    return placed.filter(F.col("_n") >= min_orders).select(
+    return placed.select(
         "order_id",
         "user_id",
         F.when(F.col("_rn") < F.col("_n"), "prior")
@@ -75,25 +55,28 @@ def numbered_orders(
 
 
 def order_lines(
-    lineitem: DataFrame, orders: DataFrame, store: Store, catalogue: int = 100
+    lineitem: DataFrame, parts: DataFrame, orders: DataFrame, buckets: int
 ) -> DataFrame:
-    """One line per (order, product) with cart position and reorder flag."""
-    # an order holds at most `catalogue` lines, so this window is bounded
+    """One line per (order, product) with cart position and reorder flag.
+    ``parts`` gives the product_id of each part_key."""
+    sold = lineitem.join(parts, F.col("l_partkey") == F.col("part_key")).select(
+        F.col("l_orderkey").alias("order_id"), "product_id", "l_linenumber"
+    )
+    numbered = orders.select("order_id", "user_id", "order_number", "eval_set")
+    first_bought = (
+        sold.select("order_id", "product_id")
+        .join(numbered.select("order_id", "user_id", "order_number"), "order_id")
+        .groupBy("user_id", "product_id")
+        .agg(F.min("order_number").alias("_first"))
+    )
+    # one order's lines fit one task
     cart = Window.partitionBy("order_id").orderBy("_ln", "product_id")
     lines = (
-        lineitem.groupBy(
-            F.col("l_orderkey").alias("order_id"),
-            (F.col("l_partkey") % catalogue).alias("product_id"),
-        )
+        sold.repartition(buckets, "order_id")
+        .groupBy("order_id", "product_id")
         .agg(F.min("l_linenumber").alias("_ln"))
-        .join(orders.select("order_id", "user_id", "order_number", "eval_set"), "order_id")
+        .join(numbered, "order_id")
         .withColumn("add_to_cart_order", F.row_number().over(cart))
-        .drop("_ln")
-    )
-    # read twice below
-    lines = store.put(lines, "positioned_lines")
-    first_bought = lines.groupBy("user_id", "product_id").agg(
-        F.min("order_number").alias("_first")
     )
     return lines.join(first_bought, ["user_id", "product_id"]).select(
         "order_id",
@@ -104,20 +87,23 @@ def order_lines(
     )
 
 
-def _aisle_id():
+def _brand():
     return F.replace(F.col("p_brand"), F.lit("Brand#"), F.lit("")).cast("int")
 
 
+def _department_id():
+    return F.floor((F.col("aisle_id") - 1) / BRANDS_PER_DEPARTMENT).cast("int") + 1
+
+
 class BasketTables(Mapping):
     """The eight basket tables by name, each derived and stored when first
     asked for. Orders and both line tables are bucketed on order_id, so joining
     and grouping on it reads without a shuffle."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, store: Store, catalogue: int = 100):
+    def __init__(self, spark: SparkSession, sf_dir: str, store: Store):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self.store = store
-        self.catalogue = catalogue
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in CSV_FILES:
@@ -133,11 +119,6 @@ class BasketTables(Mapping):
     def _read(self, table: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
 
-    @cached_property
-    def _listed(self) -> DataFrame:
-        """Parts that folded part keys refer to."""
-        return self._read("part").filter(F.col("p_partkey") < self.catalogue)
-
     @cached_property
     def _buckets(self) -> int:
         return self.store.buckets_for(self._read("lineitem").count())
@@ -149,7 +130,12 @@ class BasketTables(Mapping):
 
     @cached_property
     def _lines(self) -> DataFrame:
-        lines = order_lines(self._read("lineitem"), self.orders, self.store, self.catalogue)
+        parts = self._read("part").select("p_partkey", "p_type", _brand().alias("aisle_id"))
+        parts = parts.join(self._kinds, ["aisle_id", "p_type"]).select(
+            F.col("p_partkey").alias("part_key"), "product_id"
+        )
+        parts = self.store.put(parts, "parts")
+        lines = order_lines(self._read("lineitem"), parts, self.orders, self._buckets)
         return self.store.put_bucketed(
             lines, "lines", ["order_id"], self._buckets, ["eval_set"]
         )
@@ -166,28 +152,37 @@ class BasketTables(Mapping):
         return self._lines_of("train")
 
     @cached_property
-    def departments(self) -> DataFrame:
-        by_name = Window.orderBy("department")  # at most `catalogue` rows
-        named = self._listed.select(F.col("p_type").alias("department")).distinct()
-        numbered = named.select(F.row_number().over(by_name).alias("department_id"), "department")
-        return self.store.put(numbered, "departments")
+    def _kinds(self) -> DataFrame:
+        """The products: brands by types, a few however many parts there are."""
+        kinds = (
+            self._read("part")
+            .groupBy(_brand().alias("aisle_id"), "p_type")
+            .agg(F.min_by("p_name", "p_partkey").alias("product_name"))
+        )
+        along = Window.orderBy("aisle_id", "p_type")  # brands by types
+        return self.store.put(
+            kinds.withColumn("product_id", F.row_number().over(along).cast("int")), "kinds"
+        )
 
     @cached_property
     def aisles(self) -> DataFrame:
-        named = self._listed.select(_aisle_id().alias("aisle_id"), F.col("p_brand").alias("aisle"))
-        return self.store.put(named.distinct(), "aisles")
+        return self._kinds.select("aisle_id").distinct().select(
+            "aisle_id", F.concat(F.lit("Brand#"), F.col("aisle_id")).alias("aisle")
+        )
+
+    @cached_property
+    def departments(self) -> DataFrame:
+        last = F.col("department_id") * BRANDS_PER_DEPARTMENT
+        name = F.concat(
+            F.lit("Brand#"), last - (BRANDS_PER_DEPARTMENT - 1), F.lit("-"), last
+        )
+        numbers = self._kinds.select(_department_id().alias("department_id")).distinct()
+        return numbers.select("department_id", name.alias("department"))
 
     @cached_property
     def products(self) -> DataFrame:
-        placed = self._listed.join(self.departments, F.col("p_type") == F.col("department"))
-        return self.store.put(
-            placed.select(
-                F.col("p_partkey").cast("int").alias("product_id"),
-                F.col("p_name").alias("product_name"),
-                _aisle_id().alias("aisle_id"),
-                "department_id",
-            ),
-            "products",
+        return self._kinds.select(
+            "product_id", "product_name", "aisle_id", _department_id().alias("department_id")
         )
 
     @cached_property

@@ -41,8 +41,13 @@ class Store:
         self.root = f"{scratch_root(spark)}/{self.tag}"
         self._tables: list[str] = []
 
+    def path(self, name: str) -> str:
+        """A path of its own for each call, so that nothing a lazy result still
+        reads is overwritten."""
+        return f"{self.root}/{uuid.uuid4().hex[:8]}_{name}"
+
     def put(self, df: DataFrame, name: str) -> DataFrame:
-        path = f"{self.root}/{name}_{uuid.uuid4().hex[:8]}"
+        path = self.path(name)
         df.write.parquet(path)
         return self.spark.read.parquet(path)
 
@@ -51,7 +56,7 @@ class Store:
     ) -> DataFrame:
         """Write one folder per value of ``columns``, so that a filter on them
         reads only its folders."""
-        path = f"{self.root}/{name}_{uuid.uuid4().hex[:8]}"
+        path = self.path(name)
         df.write.partitionBy(*columns).parquet(path)
         return self.spark.read.parquet(path)
 

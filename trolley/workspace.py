@@ -15,6 +15,8 @@ from .sources.store import Store
 
 
 class Workspace:
+    trees: int | None = None  # of the base learners' ensembles; None: their own settings
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.store = Store(spark)
@@ -53,6 +55,11 @@ class Workspace:
         filled = matrix_ops.label_fill(self.train)
         return self.store.put(learn.vectorize(filled), "train_vectors")
 
+    @cached_property
+    def booster(self):
+        """The boosted trees of the submission, fitted on the whole train matrix."""
+        return learn.gbt_train(self.vectors)
+
     @cached_property
     def test_vectors(self) -> DataFrame:
         return self.store.put(learn.vectorize(self.test).drop("label"), "test_vectors")
