@@ -94,14 +94,16 @@ def test_gradient_is_that_of_the_likelihood():
     x = np.concatenate([weights, bounds])
     steps = np.eye(9) * 1e-6
     numeric = np.array([(loss(x + s) - loss(x - s)) / 2e-6 for s in steps])
-    assert ordinal._slope(batch, weights, bounds) == pytest.approx(numeric, abs=1e-4)
+    slope, information = ordinal.slope_and_information(batch, weights, bounds)
+    assert slope == pytest.approx(numeric, abs=1e-4)
+    assert information == pytest.approx(information.T) and (np.linalg.eigvalsh(information) > -1e-9).all()
 
 
 def test_fit_does_not_depend_on_the_layout(spark):
     from trolley.llm.features import vocabulary
 
     docs, labels = four_grades(spark)
-    settings = ordinal.Settings(sample=500, least_association=10.0, steps=10)
+    settings = ordinal.Settings(sample=500, least_association=10.0)
     one = ordinal.train(docs.coalesce(1), labels.coalesce(1), vocabulary, settings)
     many = ordinal.train(docs.repartition(7), labels.repartition(5), vocabulary, settings)
     assert (one.features == many.features).all()

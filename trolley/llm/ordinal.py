@@ -8,8 +8,8 @@ takes at most ``sample`` labelled rows, those with the smallest hash of their
 id, so that the choice does not depend on the layout of the table; the bound is
 a parameter. The sample's features are counted by grade, the ``features`` with
 the strongest association with the grade are kept, and the likelihood with a
-quadratic penalty is climbed by full-batch steps, each one Spark job over the
-stored sample that returns one gradient per partition.
+quadratic penalty is climbed by Fisher scoring, each step one Spark job over the
+stored sample that returns one gradient and one information per partition.
 
 Grades are whole numbers from 0; rows without a grade or a text do not train. A
 table without labels, or with one grade, gives a model without weights.
@@ -30,6 +30,8 @@ from ..sources.store import Store
 from .text import blocks, bound_batches, output
 
 DIMENSIONS = 1 << 18
+ROWS_AT_ONCE = 2_048  # that a task spreads out densely
+LONGEST_STEP = 3.0
 #: rows of a column of texts -> (row, feature, value), each pair once
 Featurizer = Callable[[pa.ChunkedArray], tuple[np.ndarray, np.ndarray, np.ndarray]]
 
@@ -40,8 +42,8 @@ class Settings:
     features: int = 512
     least_rows: int = 5  # that a feature occurs in
     least_association: float = 50.0  # chi-squared
-    steps: int = 80
-    rate: float = 0.3
+    steps: int = 12
+    close: float = 1e-3  # the longest step that ends the climb
     penalty: float = 1e-4
     partitions: int = 8
 
@@ -164,58 +166,70 @@ def fit(rows: DataFrame, settings: Settings, store: Store) -> Model:
 
 
 def _climb(rows: DataFrame, thresholds: np.ndarray, features: np.ndarray, total: int, settings: Settings) -> Model:
-    """Adam on weights, the first threshold and the logarithms of the gaps."""
-    width, levels = len(features), len(thresholds)
-    gaps = np.maximum(np.diff(thresholds), 1e-2)
-    state = np.concatenate([np.zeros(width), thresholds[:1], np.log(gaps)])
-    first, second = np.zeros_like(state), np.zeros_like(state)
-
-    def unfold(x: np.ndarray) -> np.ndarray:
-        return x[width] + np.append(0, np.cumsum(np.exp(x[width + 1 :])))
-
-    for step in range(1, settings.steps + 1):
-        weights, bounds = state[:width].copy(), unfold(state)
-
-        def slope(
+    """Fisher scoring: each step is one job, in which every partition adds up
+    its gradient and information."""
+    width = len(features)
+    size = width + len(thresholds)
+    state = np.concatenate([np.zeros(width), thresholds])
+    penalty = np.zeros(size)
+    penalty[:width] = settings.penalty * total
+
+    for _ in range(settings.steps):
+        weights, bounds = state[:width].copy(), state[width:].copy()
+
+        def terms(
             batches: Iterator[pa.RecordBatch], weights: np.ndarray = weights, bounds: np.ndarray = bounds
         ) -> Iterator[pa.RecordBatch]:
-            total = np.zeros(width + levels)
+            gradient, information = np.zeros(size), np.zeros((size, size))
             for batch in batches:
-                total += _slope(batch, weights, bounds)
-            yield pa.record_batch([pa.array([total.tobytes()], pa.binary())], ["slope"])
-
-        parts = rows.mapInArrow(slope, "slope binary").collect()  # one vector a partition
-        raw = sum((np.frombuffer(r["slope"]) for r in parts), np.zeros(width + levels)) / total
-        tail = np.cumsum(raw[width:][::-1])[::-1]  # of each threshold and all above it
-        gradient = np.concatenate([raw[:width] + settings.penalty * weights, tail[:1], tail[1:] * np.exp(state[width + 1 :])])
-        first = 0.9 * first + 0.1 * gradient
-        second = 0.99 * second + 0.01 * gradient**2
-        state = state - settings.rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
-    return Model(unfold(state), features, state[:width])
-
-
-def _slope(batch: pa.RecordBatch, weights: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Gradient of the negative log-likelihood: weights, then thresholds."""
+                for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+                    slope, curve = slope_and_information(batch.slice(start, ROWS_AT_ONCE), weights, bounds)
+                    gradient += slope
+                    information += curve
+            packed = np.concatenate([gradient, information[np.triu_indices(size)]])
+            yield pa.record_batch([pa.array([packed.tobytes()], pa.binary())], ["terms"])
+
+        parts = rows.mapInArrow(terms, "terms binary").collect()  # one vector a partition
+        summed = sum((np.frombuffer(r["terms"]) for r in parts), np.zeros(size + size * (size + 1) // 2))
+        gradient = summed[:size] + penalty * state
+        information = np.zeros((size, size))
+        information[np.triu_indices(size)] = summed[size:]
+        information += np.triu(information, 1).T + np.diag(penalty + 1e-9)
+        step = np.linalg.solve(information, gradient)
+        step *= min(1.0, LONGEST_STEP / max(np.abs(step).max(), 1e-12))
+        while (np.diff(state[width:] - step[width:]) <= 0).any():  # thresholds keep their order
+            step /= 2
+        state = state - step
+        if np.abs(step).max() < settings.close:
+            break
+    return Model(state[width:], features, state[:width])
+
+
+def slope_and_information(batch: pa.RecordBatch, weights: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the negative log-likelihood: its gradient by weights and thresholds,
+    and the expected information."""
     grade = batch["grade"].to_numpy()
-    at = batch["at"].flatten().to_numpy()
-    value = batch["values"].flatten().to_numpy()
-    row = np.repeat(np.arange(len(grade)), batch["at"].value_lengths().to_numpy())
-    margin = np.bincount(row, weights[at] * value, minlength=len(grade)) if len(at) else np.zeros(len(grade))
-    edges = np.concatenate([[-np.inf], bounds, [np.inf]])
-    with np.errstate(over="ignore"):
-        upper = 1 / (1 + np.exp(-np.clip(edges[grade + 1] - margin, -500, 500)))
-        lower = 1 / (1 + np.exp(-np.clip(edges[grade] - margin, -500, 500)))
-    upper = np.where(np.isinf(edges[grade + 1]), 1.0, upper)
-    lower = np.where(np.isinf(edges[grade]), 0.0, lower)
-    within = np.maximum(upper - lower, 1e-12)
-    rise, fall = upper * (1 - upper) / within, lower * (1 - lower) / within
-    by_margin = rise - fall
-    out = np.zeros(len(weights) + len(bounds))
-    if len(at):
-        out[: len(weights)] = np.bincount(at, by_margin[row] * value, minlength=len(weights))
-    for k in range(len(bounds)):
-        out[len(weights) + k] = fall[grade == k + 1].sum() - rise[grade == k].sum()
-    return out
+    n, levels = len(grade), len(bounds)
+    x = np.zeros((n, len(weights)))
+    lengths = batch["at"].value_lengths().to_numpy()
+    x[np.repeat(np.arange(n), lengths), batch["at"].flatten().to_numpy()] = batch["values"].flatten().to_numpy()
+    below = 1 / (1 + np.exp(-np.clip(bounds[None, :] - (x @ weights)[:, None], -50, 50)))
+    # P(grade <= k) and its derivative by the threshold, with 0 and 1 at the ends
+    dense = np.pad(below * (1 - below), ((0, 0), (1, 1)))
+    chance = np.maximum(np.diff(np.pad(below, ((0, 0), (1, 1)), constant_values=((0, 0), (0, 1)))), 1e-12)
+    by_margin = dense[:, :-1] - dense[:, 1:]  # of each grade's chance
+    by_bound = np.zeros((n, levels + 1, levels))
+    for k in range(levels):
+        by_bound[:, k, k] = dense[:, k + 1]
+        by_bound[:, k + 1, k] = -dense[:, k + 1]
+    row = np.arange(n)
+    own = 1 / chance[row, grade]
+    slope = np.concatenate([-(x.T @ (by_margin[row, grade] * own)), -(by_bound[row, grade] * own[:, None]).sum(axis=0)])
+    margin_margin = (by_margin**2 / chance).sum(axis=1)
+    margin_bound = ((by_margin / chance)[:, :, None] * by_bound).sum(axis=1)
+    bound_bound = np.einsum("nkj,nkl,nk->jl", by_bound, by_bound, 1 / chance)
+    cross = x.T @ margin_bound
+    return slope, np.block([[(x * margin_margin[:, None]).T @ x, cross], [cross.T, bound_bound]])
 
 
 def train(docs: DataFrame, labels: DataFrame, featurize: Featurizer, settings: Settings = Settings()) -> Model:
