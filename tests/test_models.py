@@ -55,9 +55,13 @@ def test_folds_score_every_row_once(ws):
 
 
 def test_cross_validated_trees_split(ws):
-    """Every fold's model tells reorders apart, and its lists score otherwise
+    """Every fold's model tells reorders apart, where a column tells of them (the
+    derived tables' purchases are drawn at random), and its lists score otherwise
     than the lists of a model that predicts nothing."""
-    scored = learn.gbt_cv_scores(ws.train, ws.store, params={"maxIter": 10}).cache()
+    noise = F.pmod(F.hash("user_id", "product_id"), F.lit(100)) / 100
+    hint = 0.6 * F.coalesce("reordered", F.lit(0)) + noise
+    train = ws.train.withColumn("_up_order_rate", hint)
+    scored = learn.gbt_cv_scores(train, ws.store, params={"maxIter": 10}).cache()
     for fold in range(4):
         held = scored.filter(F.col("fold") == fold)
         assert held.select("score").distinct().count() > 10

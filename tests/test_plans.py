@@ -59,7 +59,7 @@ def test_columns_and_filters_reach_the_scan(ws):
     assert "EqualTo(eval_set,prior)" in text
     lines = plan(explore.popularity_reorder(ws.tables))
     assert "PartitionFilters: [isnotnull(eval_set" in lines
-    assert "ReadSchema: struct<product_id:bigint,reordered:int>" in lines
+    assert "ReadSchema: struct<product_id:int,reordered:int>" in lines
 
 
 @pytest.mark.parametrize("name", ["train_matrix", "test_matrix"])

@@ -265,8 +265,8 @@ def gbt_categorical(
     repeats under its seed, so the trees up to that round are fitted again.
     Without, all rounds count."""
     both = (
-        label_fill(train).withColumn("held_out", F.lit(False))
-        .unionByName(label_fill(scored).withColumn("held_out", F.lit(True)))
+        label_fill(train).withColumn("held_out", F.lit(0))
+        .unionByName(label_fill(scored).withColumn("held_out", F.lit(1)))
     )
     sizes = both.agg(*[(F.max(c) + 1).alias(c) for c in columns]).first()
     vectors = vectorize(both, categories=sizes.asDict(), keep=["held_out"])
@@ -279,7 +279,7 @@ def gbt_categorical(
         **{**CATEGORICAL, **(params or {})},
     )
     vectors = Store(train.sparkSession).put_partitioned(vectors, "categorical", ["held_out"])
-    seen, held = vectors.filter("not held_out"), vectors.filter("held_out")
+    seen, held = vectors.filter("held_out = 0"), vectors.filter("held_out = 1")
     model = learner.fit(spread(seen))
     if validate:
         best = best_round(model.evaluateEachIteration(held))
