@@ -41,10 +41,11 @@ class Settings:
     sample: int = 20_000
     features: int = 512
     least_rows: int = 5  # that a feature occurs in
-    least_association: float = 50.0  # chi-squared
+    least_association: float = 25.0  # chi-squared
     steps: int = 12
     close: float = 1e-3  # the longest step that ends the climb
     penalty: float = 1e-4
+    false_alarm: float = 5.0  # weight of a wrongly rejected row against a caught one
     partitions: int = 8
 
 
@@ -53,6 +54,7 @@ class Model:
     thresholds: np.ndarray
     features: np.ndarray  # hashed numbers, ascending
     weights: np.ndarray
+    limits: np.ndarray  # of P(grade > k), one for each threshold, see cuts()
 
     def dense(self) -> np.ndarray:
         table = np.zeros(DIMENSIONS)
@@ -113,7 +115,8 @@ def fit(rows: DataFrame, settings: Settings, store: Store) -> Model:
     top = max(sizes, default=0)
     total = sum(sizes.values())
     if len(sizes) < 2:
-        return Model(np.zeros(max(top, 1)), np.zeros(0, np.int64), np.zeros(0))
+        flat = np.zeros(max(top, 1))
+        return Model(flat, np.zeros(0, np.int64), np.zeros(0), flat + 1.0)
     above = [sum(n for g, n in sizes.items() if g > k) for k in range(top)]
     share = np.clip(np.array(above) / total, 1e-6, 1 - 1e-6)
     thresholds = np.log1p(-share) - np.log(share)
@@ -202,7 +205,40 @@ def _climb(rows: DataFrame, thresholds: np.ndarray, features: np.ndarray, total:
         state = state - step
         if np.abs(step).max() < settings.close:
             break
-    return Model(state[width:], features, state[:width])
+    return Model(state[width:], features, state[:width], cuts(*_margins(rows, state[:width]), state[width:], settings))
+
+
+def _margins(rows: DataFrame, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Grades and margins of the sample, at most settings.sample of them."""
+
+    def margin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row = np.repeat(np.arange(batch.num_rows), batch["at"].value_lengths().to_numpy())
+            value = weights[batch["at"].flatten().to_numpy()] * batch["values"].flatten().to_numpy()
+            yield pa.record_batch([batch["grade"], pa.array(np.bincount(row, value, minlength=batch.num_rows))], ["grade", "margin"])
+
+    got = rows.mapInArrow(margin, "grade int, margin double").toArrow()
+    return got["grade"].to_numpy(), got["margin"].to_numpy()
+
+
+def cuts(grade: np.ndarray, margin: np.ndarray, bounds: np.ndarray, settings: Settings) -> np.ndarray:
+    """For each threshold the probability that best tells the sample's rows
+    above it from the others: the share caught less ``false_alarm`` times the
+    share of the others that go with them, halfway between two rows."""
+    order = np.argsort(-margin)
+    steps = np.append(margin[order], margin.min(initial=0) - 1)
+    limits = []
+    for k, bound in enumerate(bounds):
+        above = grade[order] > k
+        caught = np.append(0, np.cumsum(above)) / max(above.sum(), 1)
+        wrong = np.append(0, np.cumsum(~above)) / max((~above).sum(), 1)
+        ends = np.append(True, np.diff(margin[order]) != 0)  # cut between different margins only
+        ends = np.append(ends, True)
+        gain = np.where(ends, caught - settings.false_alarm * wrong, -np.inf)
+        best = int(np.argmax(gain))
+        cut = steps[0] + 1 if best == 0 else (steps[best - 1] + steps[best]) / 2
+        limits.append(1 / (1 + np.exp(bound - cut)))
+    return np.array(limits)
 
 
 def slope_and_information(batch: pa.RecordBatch, weights: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -16,7 +16,6 @@ from . import ordinal
 from .features import vocabulary
 
 SETTINGS = ordinal.Settings()
-REJECT = 0.05  # a clean text scores near 0.001, a single known toxic word 0.04 and more
 
 
 def severities(labels: DataFrame) -> DataFrame:
@@ -31,12 +30,14 @@ def score(docs: DataFrame, model: ordinal.Model, severity_col: str = "expected_s
     return ordinal.score(docs, model, vocabulary, severity_col, tail_col)
 
 
-def clean(docs: DataFrame, labels: DataFrame, reject: float = REJECT) -> DataFrame:
+def clean(docs: DataFrame, labels: DataFrame, reject: float | None = None) -> DataFrame:
     """``docs`` without the rows whose probability of being toxic is at least
-    ``reject``."""
+    ``reject``, by default the limit that tells the training rows apart."""
     severity, tail = _free(docs, "severity"), _free(docs, "tail")
-    scored = score(docs, train(docs, labels), severity, tail)
-    return scored.filter(F.col(tail) < reject).select(*docs.columns)
+    model = train(docs, labels)
+    limit = float(model.limits[0]) if reject is None else reject
+    scored = score(docs, model, severity, tail)
+    return scored.filter(F.col(tail) < limit).select(*docs.columns)
 
 
 def _free(docs: DataFrame, name: str) -> str:
@@ -47,6 +48,7 @@ def _free(docs: DataFrame, name: str) -> str:
 
 def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", "text")
-    return score(rows, train(rows, labels)).select(
-        "doc_id", "expected_severity", "p_toxic", (F.col("p_toxic") >= REJECT).alias("toxic")
+    model = train(rows, labels)
+    return score(rows, model).select(
+        "doc_id", "expected_severity", "p_toxic", (F.col("p_toxic") >= float(model.limits[0])).alias("toxic")
     )
