@@ -215,12 +215,16 @@ def _margins(rows: DataFrame, weights: np.ndarray) -> tuple[np.ndarray, np.ndarr
         for batch in batches:
             row = np.repeat(np.arange(batch.num_rows), batch["at"].value_lengths().to_numpy())
             value = weights[batch["at"].flatten().to_numpy()] * batch["values"].flatten().to_numpy()
-            yield pa.record_batch([batch["grade"], pa.array(np.bincount(row, value, minlength=batch.num_rows))], ["grade", "margin"])
+            yield pa.record_batch([batch["grade"], pa.array(_summed(row, value, batch.num_rows))], ["grade", "margin"])
 
     got = rows.mapInArrow(margin, "grade int, margin double").toArrow()
     return got["grade"].to_numpy(), got["margin"].to_numpy()
 
 
+def _summed(row: np.ndarray, value: np.ndarray, rows: int) -> np.ndarray:
+    return np.bincount(row, value, minlength=rows).astype(np.float64)  # whole numbers if there are none
+
+
 def cuts(grade: np.ndarray, margin: np.ndarray, bounds: np.ndarray, settings: Settings) -> np.ndarray:
     """For each threshold the probability that best tells the sample's rows
     above it from the others: the share caught less ``false_alarm`` times the
@@ -295,7 +299,7 @@ def score(
         table = model.dense()
         for batch in batches:
             row, feature, value = featurize(pa.chunked_array([batch.column(at)]), table != 0)
-            margins = np.bincount(row, table[feature] * value, minlength=batch.num_rows)
+            margins = _summed(row, table[feature] * value, batch.num_rows)
             tails = model.tails(margins)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(tails.sum(axis=1)), pa.array(tails[:, threshold])],
