@@ -6,6 +6,7 @@ no word crosses two texts. Nulls count as empty texts.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -17,6 +18,19 @@ from pyspark.sql import SparkSession
 
 BLOCK_BYTES = 4 << 20  # of text in one block; a longer text is a block by itself
 
+
+def _return_memory() -> None:
+    """Give arrays of a quarter MB and more back to the system as soon as they
+    are freed: a Python worker serves many blocks beside the executor's heap."""
+    pa.set_memory_pool(pa.system_memory_pool())
+    try:
+        ctypes.CDLL("libc.so.6").mallopt(-3, 1 << 18)  # M_MMAP_THRESHOLD
+    except (OSError, AttributeError):
+        pass  # another C library keeps its own rules
+
+
+_return_memory()
+
 _BYTES = np.arange(256)
 #: Words between white space: [^\x20\x09-\x0D]+
 SOLID = (_BYTES != 32) & ((_BYTES < 9) | (_BYTES > 13))
