@@ -284,7 +284,8 @@ def bestsellers(tables: Tables, n: int = 10) -> DataFrame:
     counts = _by_product(tables["train"]).select(
         "product_id", F.col("_lines").alias("count")
     )
-    return _with_product(top_n(counts, "count", n), tables, "product_name")
+    best = _with_product(top_n(counts, "count", n), tables, "product_name")
+    return best.orderBy(F.desc("count"), "product_id")
 
 
 def popularity_reorder(tables: Tables) -> DataFrame:
@@ -297,7 +298,8 @@ def popularity_reorder(tables: Tables) -> DataFrame:
 
 def most_reordered(tables: Tables, more_than: int = 40, n: int = 10) -> DataFrame:
     sold = popularity_reorder(tables).filter(F.col("n") > more_than)
-    return _with_product(top_n(sold, "proportion_reordered", n), tables)
+    best = _with_product(top_n(sold, "proportion_reordered", n), tables)
+    return best.orderBy(F.desc("proportion_reordered"), "product_id")
 
 
 def first_in_cart(tables: Tables, more_than: int = 10, n: int = 10) -> DataFrame:
@@ -307,11 +309,8 @@ def first_in_cart(tables: Tables, more_than: int = 10, n: int = 10) -> DataFrame
     first = share(cells, "count", within=["product_id"], name="pct").filter(
         (F.col("add_to_cart_order") == 1) & (F.col("count") > more_than)
     )
-    return _with_product(
-        top_n(first.select("product_id", "pct", "count"), "pct", n),
-        tables,
-        "product_name",
-    )
+    best = top_n(first.select("product_id", "pct", "count"), "pct", n)
+    return _with_product(best, tables, "product_name").orderBy(F.desc("pct"), "product_id")
 
 
 def _organic(tables: Tables, pattern: str) -> DataFrame:

@@ -316,6 +316,16 @@ def narrow_ints(ws):
     return encode.narrow_ints(ws.matrix.select(*schema.MATRIX))[1]
 
 
+@_query
+def narrow_matrix(ws):
+    """The narrowed integer columns of the matrix, widened again for comparison."""
+    whole = ws.matrix.select(*schema.MATRIX)
+    narrowed = encode.narrow_ints(whole)[0]
+    return narrowed.select(
+        *[F.col(f.name).cast(whole.schema[f.name].dataType) for f in narrowed.schema if isinstance(f.dataType, encode.INTEGERS)]
+    )
+
+
 @_query
 def encode_aisle_department(ws):
     dims = ws.tables["products"].select("product_id", "aisle_id", "department_id")

@@ -559,7 +559,7 @@ FROM profile WHERE aisle IN (SELECT aisle FROM aisle_count GROUP BY aisle ORDER
 # The integer columns of the matrix and their types.
 _INTS = {
     "user_id": "bigint",
-    "product_id": "bigint",
+    "product_id": "int",
     "_up_order_count": "bigint",
     "_up_first_order_number": "int",
     "_up_last_order_number": "int",
@@ -582,6 +582,7 @@ _RANGES = "\nUNION ALL ".join(
     f"'{t}' AS source FROM matrix"
     for c, t in _INTS.items()
 )
+SQL["narrow_matrix"] = BASE + FEATURES + f"SELECT {', '.join(_INTS)} FROM matrix"
 _WIDTH = "CASE {} WHEN 'tinyint' THEN 1 WHEN 'smallint' THEN 2 WHEN 'int' THEN 4 ELSE 8 END"
 _add(
     f"""
