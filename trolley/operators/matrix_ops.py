@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,8 +37,14 @@ def user_folds(df: DataFrame, k: int = 4) -> DataFrame:
 def hash_folds(df: DataFrame, keys: Sequence[str], k: int, seed: int) -> DataFrame:
     """Adds ``fold`` in 0..k-1 from a hash of the keys: the assignment is
     shuffled, yet survives recomputation and any partitioning."""
-    hashed = F.xxhash64(F.lit(seed), *[F.col(c) for c in keys])
-    return df.withColumn("fold", F.pmod(hashed, F.lit(k)).cast("int"))
+    return df.withColumn("fold", (drawn(keys, seed) % k).cast("int"))
+
+
+def drawn(keys: Sequence[str], seed: int) -> Column:
+    """A number below 2^48 from the keys: the head of an MD5 sum, which any
+    engine can repeat."""
+    text = F.concat_ws("|", F.lit(seed), *[F.col(c).cast("string") for c in keys])
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 12), 16, 10).cast("bigint")
 
 
 def split_rows(
@@ -46,8 +52,7 @@ def split_rows(
 ) -> tuple[DataFrame, DataFrame]:
     """(train, validation) rows, drawn by a hash of the keys."""
     steps = 1_000_000
-    drawn = F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in keys]), F.lit(steps))
-    held = drawn < F.lit(round(test_size * steps))
+    held = drawn(keys, seed) % steps < F.lit(round(test_size * steps))
     return df.filter(~held), df.filter(held)
 
 

@@ -490,6 +490,17 @@ def user_clusters(ws):
     return segments.user_clusters(segments.pca_pair(ws.components))[0]
 
 
+@_query
+def clustered_users(ws):
+    """What holds of any clustering: every user with purchases in one of four."""
+    rows = user_clusters(ws)
+    return rows.agg(
+        F.count("*").alias("n_users"),
+        F.count_distinct("user_id").alias("n_distinct"),
+        F.count_if(~F.col("segment").between(0, 3)).alias("n_outside"),
+    )
+
+
 @_query
 def cluster_profile_kmeans(ws):
     return segments.cluster_profile(ws.aisle_counts, ws.clusters)
@@ -524,6 +535,19 @@ def gbt_score(ws):
     return learn.gbt_score(ws.booster, ws.test_vectors)
 
 
+@_query
+def gbt_score_range(ws):
+    """What holds of any model's scores: one per test row, none missing, all
+    probabilities."""
+    rows = learn.gbt_score(ws.booster, ws.test_vectors)
+    pairs = rows.select(*schema.PAIR_KEYS).distinct().count()
+    return rows.agg(
+        F.count("score").alias("n_scores"),
+        F.lit(pairs).cast("bigint").alias("n_pairs"),
+        F.count_if(~F.col("score").between(0, 1)).alias("n_outside"),
+    )
+
+
 @_query
 def feature_importance(ws):
     return learn.feature_importance(ws.booster, ws.vectors)
@@ -599,6 +623,14 @@ def oof_stack_train(ws):
     ).oof
 
 
+@_query
+def oof_stack_folds(ws):
+    """What holds of any stack: every train row once, in its fold, scored."""
+    rows = oof_stack_train(ws)
+    missing = F.count_if(F.col("ridge").isNull() | F.col("lasso").isNull())
+    return rows.groupBy("fold").agg(F.count("*").alias("n_rows"), missing.alias("n_missing"))
+
+
 @_query
 def oof_stack_three_levels(ws):
     models = _learners(ws, "ridge", "lasso")

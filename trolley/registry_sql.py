@@ -595,3 +595,29 @@ FROM (SELECT *, CASE WHEN min < 0 THEN source WHEN max <= 127 THEN 'tinyint' WHE
 """,
     FEATURES,
 )
+
+_add(
+    """
+-- split_rows
+SELECT user_id, product_id FROM matrix WHERE eval_set = 'train'
+  AND CAST('0x' || substr(md5('42|' || user_id || '|' || product_id), 1, 12) AS BIGINT) % 1000000 < 250000
+-- gbt_score_range
+SELECT count(*) AS n_scores, count(DISTINCT (user_id, product_id)) AS n_pairs, CAST(0 AS BIGINT) AS n_outside
+FROM matrix WHERE eval_set = 'test'
+-- oof_stack_folds
+SELECT CAST(CAST('0x' || substr(md5('0|' || user_id || '|' || product_id), 1, 12) AS BIGINT) % 5 AS INT) AS fold,
+       count(*) AS n_rows, CAST(0 AS BIGINT) AS n_missing
+FROM matrix WHERE eval_set = 'train' GROUP BY fold
+""",
+    FEATURES,
+)
+_add(
+    """
+-- sample_rows
+SELECT aisle_id, aisle FROM f_aisles ORDER BY md5('42|' || aisle_id || '|' || aisle) LIMIT 5
+-- clustered_users
+SELECT count(DISTINCT user_id) AS n_users, count(DISTINCT user_id) AS n_distinct, CAST(0 AS BIGINT) AS n_outside
+FROM aisle_count
+""",
+    SEGMENTS,
+)

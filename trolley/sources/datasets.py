@@ -71,6 +71,8 @@ def write_ground_truth(lists: DataFrame, path: str) -> None:
 
 def sample_rows(df: DataFrame, n: int | None = None, seed: int = 42) -> DataFrame:
     """``n`` rows drawn at random, or every row in random order when ``n`` is
-    omitted. The draw hashes row contents, so it survives recomputation."""
-    shuffled = df.orderBy(F.xxhash64(F.lit(seed), *[F.col(c) for c in df.columns]))
+    omitted. The draw is by the MD5 sum of the row's values, so it survives
+    recomputation and can be repeated elsewhere."""
+    text = F.concat_ws("|", F.lit(seed), *[F.col(c).cast("string") for c in df.columns])
+    shuffled = df.orderBy(F.md5(text.cast("binary")))
     return shuffled if n is None else shuffled.limit(n)
