@@ -140,6 +140,16 @@ def test_closed_store_leaves_no_tables(spark):
     assert not [t for t in spark.catalog.listTables() if store.tag in t.name]
 
 
+def test_a_store_removes_its_files(spark):
+    from pathlib import Path
+
+    with Store(spark) as store:
+        assert store.put(spark.range(4), "t").count() == 4
+        folder = Path(store.root.removeprefix("file:"))
+        assert folder.exists()
+    assert not folder.exists()
+
+
 def test_sample_is_stable(spark):
     df = spark.range(100)
     five = sample_rows(df, 5, seed=1).collect()

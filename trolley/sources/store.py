@@ -33,7 +33,8 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 class Store:
-    """Writes tables under one fresh folder and reads them back."""
+    """Writes tables under one fresh folder and reads them back. As a context
+    manager it removes them at its end."""
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
@@ -85,10 +86,20 @@ class Store:
         return self.spark.table(table)
 
     def close(self) -> None:
-        """Remove the store's tables from the catalog. Their files stay."""
+        """Remove the store's tables and its files. Results that still read them
+        must have been computed."""
         for table in self._tables:
             self.spark.sql(f"DROP TABLE IF EXISTS {table}")
         self._tables.clear()
+        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs
+        root = hadoop.Path(self.root)
+        root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)
+
+    def __enter__(self) -> Store:
+        return self
+
+    def __exit__(self, *raised: object) -> None:
+        self.close()
 
     def buckets_for(self, rows: int) -> int:
         """One bucket per ``ROWS_PER_BUCKET`` rows, at least one per core, and no
