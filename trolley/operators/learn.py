@@ -49,7 +49,7 @@ CROSS_VALIDATE = {**SUBMIT, "stepSize": 0.1, "minInfoGain": 0.0, "maxIter": 80,
 CATEGORICAL = {"stepSize": 0.05, "maxDepth": 8, "maxIter": 100, "seed": 42}
 ROUND_SWEEP = [250, 350, 400, 450, 500]
 THRESHOLD = 0.202
-FIT_PARTITIONS = 16
+FIT_PARTITIONS = 8
 RIDGE_ALPHAS = [
     1e-3, 5e-3, 1e-2, 5e-2, 1e-1, 0.2, 0.3, 0.4, 0.5, 0.8, 1.0, 3.0, 5.0, 7.0, 10.0,
 ]
