@@ -32,6 +32,7 @@ from .text import blocks, bound_batches, output
 DIMENSIONS = 1 << 18
 ROWS_AT_ONCE = 2_048  # that a task spreads out densely
 LONGEST_STEP = 3.0
+EXTRACT_BYTES = 1 << 20  # of text whose features, all of them, are held at once
 #: rows of a column of texts -> (row, feature, value), each pair once
 Featurizer = Callable[[pa.ChunkedArray], tuple[np.ndarray, np.ndarray, np.ndarray]]
 
@@ -84,7 +85,7 @@ def training_rows(
     )
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in blocks(batches, "text"):
+        for rows in blocks(batches, "text", EXTRACT_BYTES):
             row, feature, value = featurize(rows["text"])
             order = np.argsort(row, kind="stable")
             edges = np.searchsorted(row[order], np.arange(rows.num_rows + 1)).astype(np.int32)

@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import SparkSession
 
-BLOCK_BYTES = 4 << 20  # of text in one block; a longer text is a block by itself
+BLOCK_BYTES = 5 << 19  # of text in one block; a longer text is a block by itself
 
 
 def _return_memory() -> None:
