@@ -571,7 +571,7 @@ def gbt_categorical(ws):
 
 @_query
 def gbt_categorical_cv_f1(ws):
-    params = {**QUICK, "maxDepth": 5}
+    params = {"maxIter": 10, "maxDepth": 5}
     return learn.gbt_cv_f1(
         ws.train, ws.truth, ws.store, k=2, params=params, categorical=["aisle_id"]
     )
