@@ -15,7 +15,7 @@ from .sources.store import Store
 
 
 class Workspace:
-    trees: int | None = None  # of the base learners' ensembles; None: their own settings
+    trees: int | None = 5  # of the base learners' ensembles; None: their own settings
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
