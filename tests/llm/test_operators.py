@@ -185,6 +185,31 @@ def test_suffix_tree_is_a_distribution(spark, docs):
             assert (10.0**logs).sum() == pytest.approx(1, abs=1e-9)
 
 
+def test_suffix_tree_keeps_rare_contexts_of_a_large_corpus(spark):
+    """A context seen 300 times is a state whatever else the corpus holds."""
+    from trolley.sources import Store
+
+    spell = lambda t: int.from_bytes(t.encode())
+    for bulk in (10**3, 10**9):
+        rows = [(spell("abcdef"), 5, 300), (spell("uvwxyz"), 5, bulk), (spell("uvwxyf"), 5, bulk)]
+        tree = suffix_tree.learn(spark.createDataFrame(rows, "pair long, length int, n long"), Store(spark))
+        assert spell("e") in tree.contexts[1].tolist()
+
+
+def test_suffix_tree_joined_scores_are_those_of_the_whole_tree(spark, docs):
+    from trolley.sources import Store
+
+    store = Store(spark)
+    corpus = suffix_tree.pack(docs, F.col("doc_id") % 7 == 2, store)
+    grams, _, _ = suffix_tree.count_pairs(corpus, store)
+    tree = suffix_tree.learn(grams, store)
+    found = suffix_tree.chances(suffix_tree.states(grams, store)).toArrow()
+    pairs = found["pair"].to_numpy()
+    assert sorted(pairs) == sorted(r.pair for r in grams.collect())
+    want = tree.score(pairs, np.full(len(pairs), suffix_tree.DEPTH))
+    assert np.log10(found["chance"].to_numpy()) == pytest.approx(want, abs=1e-9)
+
+
 def test_decontamination(docs, items):
     got = decontam.report(clash(docs), clash(items))
     columns = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")

@@ -3,26 +3,24 @@
 A text, A-Z lower-cased, is its words between white space and one end. The
 tree's symbols are bytes: a word is spelt out and closed by a space, the text
 by a line feed. A context is the last up to ``depth`` symbols of the word so
-far, the space before it included; the end of a text is a symbol that can
-follow that space.
-
-Learning. Blocks send their distinct words with their counts in the training
-documents to shards; each shard spells every word once and sends on the counts
-of its context-and-symbol pairs, which Spark sums over the corpus. A context is
-retained if it makes up ``least_share`` of all symbols and its next-symbol
-distribution diverges from that of the context one symbol shorter: the bits
-saved over the corpus must exceed the cost of its parameters. The suffixes of a
-retained context are retained too, so that the longest retained suffix of any
-history is a state of the tree. The share bounds the retained contexts, at most
-(depth + 1) / least_share, whatever the size of the corpus; that bound lets
-the tree be sent to every task.
+far, the space before it included; line feeds stand before the first of them.
+
+Learning. Blocks send their distinct context-and-symbol pairs with their counts
+in the training documents to shards, which add them up. A context is retained
+if it was seen ``LEAST`` times and its next-symbol distribution diverges from
+that of the context one symbol shorter: the bits saved over the corpus must
+exceed the cost of its parameters. The suffixes of a retained context are
+retained too, so that the longest retained suffix of any history is a state of
+the tree. The tree grows with the corpus; it is a stored table, one folder for
+each length of context, and never leaves the executors.
 
 Smoothing. A state's counts are interpolated with its parent's distribution,
 which weighs as many observations as the state has different symbols; the root
 is interpolated with equal shares of all 256 bytes.
 
-Scoring. Shards score each distinct word once from the longest suffix states
-and return its log10 probability and its count; blocks add up their documents.
+Scoring. The tree is joined, length by length, to every pair that some block
+holds; shards return the log10 probabilities to the blocks, which add them up
+along the symbols of each document.
 
 Null counts as an empty text; a document without an id is a training document.
 Every row gives one row; without training documents the tree is the root alone.
@@ -56,19 +54,19 @@ from .packing import (
     small,
     thaw,
     thaw_words,
-    word_bytes,
 )
-from .text import SOLID, blocks, bound_batches, numbered, output, words
+from .text import SOLID, binary_array, blocks, bound_batches, numbered, output, words
 
 DEPTH = 5  # symbols of a context, at most 6
-LEAST_SHARE = 1e-5
+LEAST = 2  # times that a retained context was seen
 SPACE, END = 0x20, 0x0A
+SPREAD = 1_000_003  # a prime: deals pairs out to shards
 
 
 @dataclass
 class Tree:
-    """By context length: the retained contexts, ascending, the log10 weight
-    of their parents; the context-and-symbol pairs seen, ascending, and their
+    """A tree small enough to be looked at as a whole. By context length: the
+    retained contexts, ascending, the log10 weight of their parents; the context-and-symbol pairs seen, ascending, and their
     log10 probability. A pair is context * 256 + symbol."""
 
     contexts: list[np.ndarray]
@@ -109,61 +107,95 @@ def _find(held: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return at, held[at] == wanted
 
 
-def spelt(values: pa.LargeBinaryArray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Every symbol of the words with its context: pairs, context lengths, and
-    the words they belong to."""
-    lengths, data = word_bytes(values)
-    spaced = np.full(int(lengths.sum()) + len(lengths) + 1, SPACE, np.uint8)
-    begins = np.append(0, np.cumsum(lengths + 1))
-    inside = np.ones(len(spaced), bool)
-    inside[begins] = False
-    spaced[inside] = np.frombuffer(data, np.uint8)
+def spelt(data: bytes, lengths: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Every symbol of the texts with its context: pairs, and the texts they
+    belong to. ``data`` holds the texts' words, each with a space after it."""
+    pad = max(depth, 1)
+    begins = pad + np.append(0, np.cumsum(lengths + pad))
+    row = np.full(int(begins[-1]), END, np.uint8)
+    edge = np.zeros(len(row) + 1, np.int8)
+    edge[begins[:-1]] += 1
+    np.subtract.at(edge, begins[:-1] + lengths, 1)
+    row[np.cumsum(edge[:-1]).astype(bool)] = np.frombuffer(data, np.uint8)
     owner = np.repeat(np.arange(len(lengths)), lengths + 1)
-    at = np.arange(1, len(spaced))
-    reach = np.minimum(at - begins[owner], depth)
-    pairs = spaced[1:].astype(np.int64)
+    at = np.arange(len(owner)) + (begins[:-1] - np.append(0, np.cumsum(lengths + 1))[:-1])[owner]
+    pairs = row[at].astype(np.int64)
+    inside = np.ones(len(at), bool)  # of the word so far
     for back in range(1, depth + 1):
-        far = reach >= back
-        pairs[far] |= spaced[at[far] - back].astype(np.int64) << (8 * back)
-    return pairs, reach, owner
+        symbol = row[at - back]
+        pairs |= np.where(inside, symbol, END).astype(np.int64) << (8 * back)
+        inside &= symbol != SPACE
+    return pairs, owner
 
 
-def learn(grams: DataFrame, store: Store, depth: int = DEPTH, least_share: float = LEAST_SHARE) -> Tree:
-    """The tree of the counts ``grams``(pair long, length int, n long), each at
-    its longest context."""
-    levels = grams.select(
-        F.explode(F.sequence(F.lit(0), F.col("length"))).alias("length"), F.col("pair"), F.col("n")
-    )
+def states(grams: DataFrame, store: Store, depth: int = DEPTH, least_share: float = 0.0) -> DataFrame:
+    """The stored table (length, pair, n, total, kinds, state) of the counts
+    ``grams``(pair long, n long): every suffix of every pair, pairs that no
+    training document has (n = 0) included, and whether its context is a state.
+    ``least_share`` asks that a state make up a share of all symbols."""
     masks = F.array(*[F.lit(int(_mask(level + 1))) for level in range(depth + 1)])
     counts = (
-        levels.select("length", F.col("pair").bitwiseAND(F.get(masks, F.col("length"))).alias("pair"), "n")
+        grams.select(F.explode(F.sequence(F.lit(0), F.lit(depth))).alias("length"), "pair", "n")
+        .select("length", F.col("pair").bitwiseAND(F.get(masks, F.col("length"))).alias("pair"), "n")
         .groupBy("length", "pair")
         .agg(F.sum("n").alias("n"))
         .withColumn("context", F.shiftright("pair", 8))
     )
     symbols = grams.agg(F.sum("n")).first()[0] or 0
-    least = max(2, int(np.ceil(least_share * symbols)))
+    least = max(LEAST, int(np.ceil(least_share * symbols)))
     context = ["length", "context"]
-    totals = counts.groupBy(*context).agg(F.sum("n").alias("total"), F.count("*").alias("kinds")).filter(F.col("total") >= least)
+    # A context has at most 256 pairs.
+    totals = counts.groupBy(*context).agg(F.sum("n").alias("total"), F.count_if(F.col("n") > 0).alias("kinds"))
     counts = store.put(counts.join(totals, context), "context_counts")
 
     # Bits saved against the context that is one symbol shorter.
     shorter = F.get(masks, F.col("length") - 1)
-    own = counts.filter("length > 0").select(
-        *context, "pair", "n", "total", "kinds", (F.col("length") - 1).alias("up"), F.col("pair").bitwiseAND(shorter).alias("up_pair")
+    seen = counts.filter("n > 0")
+    own = seen.filter((F.col("length") > 0) & (F.col("total") >= least)).select(
+        *context, "n", "total", "kinds", (F.col("length") - 1).alias("up"), F.col("pair").bitwiseAND(shorter).alias("up_pair")
     )
-    parent = counts.select(
+    parent = seen.select(
         F.col("length").alias("up"), F.col("pair").alias("up_pair"), (F.col("n") / F.col("total")).alias("up_share")
     )
     saved = F.sum(F.col("n") * F.log2(F.col("n") / F.col("total") / F.col("up_share")))
     cost = F.max("kinds") * F.log2(F.lit(float(max(symbols, 2)))) / 2
     kept = own.join(parent, ["up", "up_pair"]).groupBy(*context).agg((saved - cost).alias("gain")).filter("gain > 0")
-    suffixes = kept.select(F.explode(F.sequence(F.lit(0), F.col("length"))).alias("length"), F.col("context"))
-    bound = F.when(F.col("length") == 0, F.lit(0)).otherwise(F.get(masks, F.col("length") - 1))
+    suffixes = kept.select(F.explode(F.sequence(F.lit(1), F.col("length"))).alias("length"), F.col("context"))
+    bound = F.get(masks, F.col("length") - 1)
     retained = suffixes.select("length", F.col("context").bitwiseAND(bound).alias("context")).distinct()
-    root = counts.filter("length = 0").select(*context).distinct()
-    rows = counts.join(retained.unionByName(root).distinct(), context)
-    # At most (depth + 1) / least_share contexts.
+    rows = counts.join(retained.withColumn("kept", F.lit(True)), context, "left").select(
+        "length", "pair", "n", "total", "kinds", ((F.col("length") == 0) | F.col("kept").isNotNull()).alias("state")
+    )
+    path = store.path("tree")
+    rows.write.partitionBy("length").parquet(path)
+    return grams.sparkSession.read.schema(rows.schema).parquet(path)  # an empty tree has no files to tell
+
+
+def chances(tree: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """(pair, chance): P(symbol | longest retained suffix) of each pair at the
+    full depth."""
+    flat = F.lit(1 / 256)
+    found = tree.filter("length = 0").select(
+        "pair",
+        F.when(F.col("total") > 0, (F.col("n") + F.col("kinds") * flat) / (F.col("total") + F.col("kinds")))
+        .otherwise(flat)
+        .alias("chance"),
+    )
+    for length in range(1, depth + 1):
+        up = found.select(F.col("pair").alias("up"), F.col("chance").alias("up_chance"))
+        own = (F.col("n") + F.col("kinds") * F.col("up_chance")) / (F.col("total") + F.col("kinds"))
+        found = (
+            tree.filter(F.col("length") == length)
+            .withColumn("up", F.col("pair").bitwiseAND(F.lit(int(_mask(length)))))
+            .join(up, "up")
+            .select("pair", F.when(F.col("state"), own).otherwise(F.col("up_chance")).alias("chance"))
+        )
+    return found
+
+
+def learn(grams: DataFrame, store: Store, depth: int = DEPTH, least_share: float = 0.0) -> Tree:
+    """The tree as a whole, for small corpora; ``states`` is that of any."""
+    rows = states(grams, store, depth, least_share).filter("state and n > 0")
     return _tree(rows.select("length", "pair", "n", "total", "kinds").toArrow(), depth)
 
 
@@ -188,14 +220,68 @@ def _tree(rows: pa.Table, depth: int) -> Tree:
 
 @dataclass
 class Corpus:
-    """Documents packed into blocks that know which of them train."""
+    """Documents packed into blocks that know which of them train. Shards below
+    ``shards`` hold words, those from there on pairs."""
 
     packed: DataFrame
     train_docs: int
     shards: int
+    depth: int
+
+    def asked(self, pairs: bool) -> DataFrame:
+        wanted = F.col("shard") >= self.shards if pairs else F.col("shard").between(0, self.shards - 1)
+        return self.packed.filter(wanted)
+
+
+@dataclass
+class Questions:
+    """The distinct words and pairs of a block, by shard, each in ascending
+    order, and the number among them of each word and symbol."""
+
+    words: pa.LargeBinaryArray
+    word_homes: np.ndarray
+    codes: np.ndarray
+    pairs: np.ndarray
+    pair_homes: np.ndarray
+    symbols: np.ndarray
+    owner: np.ndarray  # the text of each symbol
+
+
+def _questions(data: bytes, first: np.ndarray, shards: int, depth: int) -> Questions:
+    """``data`` holds words, each with a space after it; text i has the words
+    first[i] to first[i + 1]."""
+    raw = np.frombuffer(data, np.uint8)
+    spaces = raw == SPACE
+    ends = np.append(0, np.flatnonzero(spaces) + 1)  # of the words with their spaces
+    distinct, codes = numbered(binary_array(ends - np.arange(len(ends)), raw[~spaces]))
+    homes = np.fromiter((xxhash.xxh32_intdigest(x) for x in distinct.to_pylist()), np.uint32, len(distinct)) % shards
+    order = pc.sort_indices(pa.table({"shard": homes, "word": distinct}), [("shard", "ascending"), ("word", "ascending")]).to_numpy()
+
+    pairs, owner = spelt(data, np.diff(ends[first]), depth)
+    coded = pa.array(pairs).dictionary_encode()
+    kinds, symbols = coded.dictionary.to_numpy(), coded.indices.to_numpy()
+    pair_homes = kinds % SPREAD % shards
+    pair_order = np.lexsort((kinds, pair_homes))
+    return Questions(
+        distinct.take(pa.array(order)),
+        homes[order],
+        _places(order)[codes],
+        kinds[pair_order],
+        pair_homes[pair_order],
+        _places(pair_order)[symbols],
+        owner,
+    )
+
+
+def _places(order: np.ndarray) -> np.ndarray:
+    place = np.empty(len(order), np.int32)
+    place[order] = np.arange(len(order), dtype=np.int32)
+    return place
 
 
-def pack(docs: DataFrame, held_out, store: Store, id_col: str = "doc_id", text_col: str = "text") -> Corpus:
+def pack(
+    docs: DataFrame, held_out, store: Store, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH
+) -> Corpus:
     """``held_out`` is a condition; a row where it is null trains."""
     spark = docs.sparkSession
     bound_batches(spark)
@@ -210,25 +296,27 @@ def pack(docs: DataFrame, held_out, store: Store, id_col: str = "doc_id", text_c
         for number, table in zip(block_numbers(), blocks(batches, "text")):
             found = words(table["text"], SOLID, lower=True)
             held = table["held"].to_numpy().astype(bool)
-            distinct, codes = numbered(found.values())
-            home = np.fromiter((xxhash.xxh32_intdigest(x) for x in distinct.to_pylist()), np.uint32, len(distinct)) % shards
-            order = pc.sort_indices(
-                pa.table({"shard": home, "word": distinct}), [("shard", "ascending"), ("word", "ascending")]
-            ).to_numpy()
-            place = np.empty(len(order), np.int32)
-            place[order] = np.arange(len(order), dtype=np.int32)
-            counts = np.bincount(codes[~held[found.owner()]], minlength=len(distinct))[order]
-            distinct = distinct.take(pa.array(order))
-            names, begin = dealt(home[order])
-            body = freeze(**keys(table["id"]), held=held.view(np.uint8), first=small(np.diff(found.first)), codes=place[codes])
+            text, _ = found.spaced()
+            asked = _questions(text, found.first, shards, depth)
+            counts = np.bincount(asked.codes[~held[found.owner()]], minlength=len(asked.words))
+            seen = np.bincount(asked.symbols[~held[asked.owner]], minlength=len(asked.pairs))
+            body = freeze(**keys(table["id"]), held=held.view(np.uint8), first=small(np.diff(found.first)), text=text)
+            names, begin = dealt(asked.word_homes)
             data = [
-                freeze_words(distinct.slice(a, b - a), counts=small(counts[a:b]))
-                for a, b in zip(begin, np.append(begin[1:], len(distinct)))
+                freeze_words(asked.words.slice(a, b - a), counts=small(counts[a:b]))
+                for a, b in zip(begin, np.append(begin[1:], len(counts)))
             ]
-            yield output(PACKED_ARROW, block=[number] * (len(names) + 1), shard=[BODY, *names.tolist()], data=[body, *data])
+            pair_names, begin = dealt(asked.pair_homes)
+            # Ascending pairs as their steps.
+            data += [
+                freeze(steps=small(np.diff(asked.pairs[a:b], prepend=0)), counts=small(seen[a:b]))
+                for a, b in zip(begin, np.append(begin[1:], len(seen)))
+            ]
+            shard = [BODY, *names.tolist(), *(pair_names + shards).tolist()]
+            yield output(PACKED_ARROW, block=[number] * len(shard), shard=shard, data=[body, *data])
 
     packed = store.put(rows.mapInArrow(cut, PACKED), "words")
-    return Corpus(packed, rows.filter("not held").count(), shards)
+    return Corpus(packed, rows.filter("not held").count(), shards, depth)
 
 
 def _shard(table: pa.Table) -> tuple[pa.LargeBinaryArray, np.ndarray, list[np.ndarray]]:
@@ -240,54 +328,71 @@ def _shard(table: pa.Table) -> tuple[pa.LargeBinaryArray, np.ndarray, list[np.nd
     return distinct, counts, np.split(codes, np.cumsum([len(a) for a in arrays])[:-1])
 
 
-def count_pairs(corpus: Corpus, store: Store, depth: int = DEPTH) -> tuple[DataFrame, int, int]:
-    """(pair, length, n) summed over the training documents; the number of
-    training tokens and of different ones."""
-    schema = pa.schema([("pair", pa.int64()), ("length", pa.int32()), ("n", pa.int64())])
+def _pairs(part: dict) -> np.ndarray:
+    return np.cumsum(part["steps"], dtype=np.int64)
 
-    def spell(table: pa.Table) -> pa.Table:
-        distinct, counts, _ = _shard(table)
-        seen = np.flatnonzero(counts)
-        pairs, lengths, owner = spelt(distinct.take(pa.array(seen)), depth)
-        both, number = np.unique(pairs << 3 | lengths, return_inverse=True) if len(pairs) else (pairs, pairs)
-        n = np.bincount(number, counts[seen][owner], minlength=len(both)).astype(np.int64)
-        # The shard's words and tokens travel as pairs that no text holds.
-        return pa.table(
-            [
-                pa.array(np.append(both >> 3, [-1, -2])),
-                pa.array(np.append(both & 7, [0, 0]).astype(np.int32)),
-                pa.array(np.append(n, [len(seen), counts.sum()])),
-            ],
-            schema=schema,
-        )
 
-    asked = corpus.packed.filter(F.col("shard") != BODY).groupBy("shard")
-    grams = asked.applyInArrow(spell, "pair long, length int, n long").groupBy("pair", "length").agg(F.sum("n").alias("n"))
-    grams = store.put(grams, "pairs")
-    sums = {r["pair"]: r["n"] for r in grams.filter("pair < 0").collect()}  # two rows
-    ends = grams.sparkSession.createDataFrame(
-        [(SPACE << 8 | END, 1, corpus.train_docs)] if corpus.train_docs else [], "pair long, length int, n long"
+def count_pairs(corpus: Corpus, store: Store) -> tuple[DataFrame, int, int]:
+    """(pair, n) of every pair, n summed over the training documents; the number
+    of training tokens and of different ones."""
+
+    def tokens(table: pa.Table) -> pa.Table:
+        _, counts, _ = _shard(table)
+        return pa.table({"tokens": [int(counts.sum())], "words": [int(np.count_nonzero(counts))]})
+
+    def add(table: pa.Table) -> pa.Table:
+        held = np.zeros(0, np.int64)
+        n = np.zeros(0, np.int64)
+        late: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
+        rows = table["data"]
+        for i in range(len(rows)):
+            part = thaw(rows[i].as_py())
+            late.append((_pairs(part), part["counts"].astype(np.int64)))
+            size += len(late[-1][0])
+            # What is held at once is at most twice the distinct pairs and some.
+            if size > max(len(held), 1 << 20) or i == len(rows) - 1:
+                held, n = _summed([held, *[p for p, _ in late]], [n, *[c for _, c in late]])
+                late, size = [], 0
+        return pa.table({"pair": held, "n": n})
+
+    sums = (
+        corpus.asked(pairs=False).groupBy("shard").applyInArrow(tokens, "tokens long, words long").agg(F.sum("tokens"), F.sum("words")).first()
     )
-    tokens = int(sums.get(-2, 0)) + corpus.train_docs
-    distinct = int(sums.get(-1, 0)) + (corpus.train_docs > 0)
-    return grams.filter("pair >= 0").unionByName(ends), tokens, distinct
+    grams = store.put(corpus.asked(pairs=True).groupBy("shard").applyInArrow(add, "pair long, n long"), "pairs")
+    return grams, (sums[0] or 0) + corpus.train_docs, (sums[1] or 0) + (corpus.train_docs > 0)
+
+
+def _summed(pairs: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    distinct, code = np.unique(np.concatenate(pairs), return_inverse=True)
+    # A sum of whole numbers below 2^53 is exact.
+    return distinct, np.bincount(code, np.concatenate(counts), minlength=len(distinct)).astype(np.int64)
 
 
-def score(corpus: Corpus, tree: Tree, tokens: int, distinct: int, depth: int = DEPTH) -> DataFrame:
+def score(corpus: Corpus, found: DataFrame, tokens: int, distinct: int) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) of each
-    document."""
-    shared = corpus.packed.sparkSession.sparkContext.broadcast(tree)  # bounded by the least share
-
-    def answer(table: pa.Table) -> pa.Table:
-        values, counts, members = _shard(table)
-        pairs, lengths, owner = spelt(values, depth)
-        logs = np.bincount(owner, shared.value.score(pairs, lengths), minlength=len(values)).astype(np.float32)
-        data = [freeze(counts=small(counts[m]), logs=logs[m]) for m in members]
+    document; ``found`` are the ``chances`` of all pairs."""
+    shards, depth, train_docs = corpus.shards, corpus.depth, corpus.train_docs
+
+    def known(table: pa.Table) -> pa.Table:
+        _, counts, members = _shard(table)
+        data = [freeze(answers=small(counts[m])) for m in members]
         return pa.table([table["block"], table["shard"], pa.array(data, pa.binary())], schema=PACKED_ARROW)
 
-    train_docs = corpus.train_docs
+    def answer(asked: pa.Table, table: pa.Table) -> pa.Table:
+        pairs, logs = table["pair"].to_numpy(), np.log10(table["chance"].to_numpy()).astype(np.float32)
+        order = np.argsort(pairs)
+        pairs, logs = pairs[order], logs[order]
+        data = []
+        for x in asked["data"]:
+            wanted = _pairs(thaw(x.as_py()))
+            at, there = _find(pairs, wanted)
+            if not there.all():
+                raise ValueError("a pair without a probability")
+            data.append(freeze(answers=logs[at]))
+        return pa.table([asked["block"], asked["shard"], pa.array(data, pa.binary())], schema=PACKED_ARROW)
+
     floor = tokens + distinct + 1
-    end_log = float(tree.score(np.array([SPACE << 8 | END]), np.array([1]))[0])
     end_base = float(np.log10((train_docs + 1) / floor))
     result = pa.schema(
         [
@@ -303,9 +408,14 @@ def score(corpus: Corpus, tree: Tree, tokens: int, distinct: int, depth: int = D
 
     def add(table: pa.Table) -> pa.Table:
         _, body, answers = opened(table)
-        codes, first = body["codes"], np.append(0, np.cumsum(body["first"], dtype=np.int64))
-        counts = np.concatenate([a["counts"] for a in answers]) if answers else np.zeros(0)
-        logs = np.concatenate([a["logs"] for a in answers]) if answers else np.zeros(0)
+        first = np.append(0, np.cumsum(body["first"], dtype=np.int64))
+        asked = _questions(body["text"], first, shards, depth)
+        given = [a["answers"] for a in answers]
+        n = len(np.unique(asked.word_homes))
+        counts = np.concatenate(given[:n]) if n else np.zeros(0)
+        logs = np.concatenate(given[n:]).astype(np.float64)
+        if len(counts) != len(asked.words) or len(logs) != len(asked.pairs):
+            raise ValueError("answers that do not match their block")
         docs = len(body["ids"])
         owner = np.repeat(np.arange(docs), body["first"])
         base = np.log10((counts.astype(np.float64) + 1) / floor)
@@ -314,16 +424,24 @@ def score(corpus: Corpus, tree: Tree, tokens: int, distinct: int, depth: int = D
                 key_array(body),
                 pa.array(body["held"].astype(bool)),
                 pa.array(np.diff(first) + 1),
-                pa.array(np.bincount(owner, (counts > 0)[codes], minlength=docs).astype(np.int64) + (train_docs > 0)),
+                pa.array(np.bincount(owner, (counts > 0)[asked.codes], minlength=docs).astype(np.int64) + (train_docs > 0)),
                 pa.array(np.full(docs, tokens)),
-                pa.array(np.bincount(owner, base[codes], minlength=docs) + end_base),
-                pa.array(np.bincount(owner, logs.astype(np.float64)[codes], minlength=docs) + end_log),
+                pa.array(np.bincount(owner, base[asked.codes], minlength=docs) + end_base),
+                pa.array(np.bincount(asked.owner, logs[asked.symbols], minlength=docs)),
             ],
             schema=result,
         )
 
-    body, asked = corpus.packed.filter(F.col("shard") == BODY), corpus.packed.filter(F.col("shard") != BODY)
-    return by_block(body, asked.groupBy("shard").applyInArrow(answer, PACKED)).applyInArrow(
+    body = corpus.packed.filter(F.col("shard") == BODY)
+    home = (F.col("pair") % SPREAD % shards + shards).cast("int").alias("shard")
+    answers = (
+        corpus.asked(pairs=True)
+        .groupBy("shard")
+        .cogroup(found.select(home, "pair", "chance").groupBy("shard"))
+        .applyInArrow(answer, PACKED)
+        .unionByName(corpus.asked(pairs=False).groupBy("shard").applyInArrow(known, PACKED))
+    )
+    return by_block(body, answers).applyInArrow(
         add,
         "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double",
     )
@@ -333,16 +451,16 @@ def train_and_score(
     docs: DataFrame,
     held_out,
     depth: int = DEPTH,
-    least_share: float = LEAST_SHARE,
+    least_share: float = 0.0,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
     """Learn from the rows that ``held_out`` leaves and score all rows."""
     store = Store(docs.sparkSession)
-    corpus = pack(docs, held_out, store, id_col, text_col)
-    grams, tokens, distinct = count_pairs(corpus, store, depth)
-    tree = learn(grams, store, depth, least_share)
-    return score(corpus, tree, tokens, distinct, depth).withColumnRenamed("id", id_col)
+    corpus = pack(docs, held_out, store, id_col, text_col, depth)
+    grams, tokens, distinct = count_pairs(corpus, store)
+    tree = states(grams, store, depth, least_share)
+    return score(corpus, chances(tree, depth), tokens, distinct).withColumnRenamed("id", id_col)
 
 
 def report(docs: DataFrame) -> DataFrame:
