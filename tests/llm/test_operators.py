@@ -210,6 +210,14 @@ def test_suffix_tree_joined_scores_are_those_of_the_whole_tree(spark, docs):
     assert np.log10(found["chance"].to_numpy()) == pytest.approx(want, abs=1e-9)
 
 
+def test_suffix_tree_tells_a_text_from_its_words_shuffled(spark):
+    rows = [(i, "a b c d e f g h") for i in range(50)] + [(100, "a b c d e f g h"), (101, "h c a f d b g e")]
+    scored = suffix_tree.train_and_score(spark.createDataFrame(rows, "doc_id long, text string"), F.col("doc_id") >= 100)
+    by_id = {r.doc_id: r for r in scored.filter("held_out").collect()}
+    assert by_id[100].base_score == pytest.approx(by_id[101].base_score)
+    assert by_id[100].score > by_id[101].score + 1
+
+
 def test_decontamination(docs, items):
     got = decontam.report(clash(docs), clash(items))
     columns = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")

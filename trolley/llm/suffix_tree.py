@@ -2,8 +2,8 @@
 
 A text, A-Z lower-cased, is its words between white space and one end. The
 tree's symbols are bytes: a word is spelt out and closed by a space, the text
-by a line feed. A context is the last up to ``depth`` symbols of the word so
-far, the space before it included; line feeds stand before the first of them.
+by a line feed. A context is the last up to ``depth`` symbols of the text so
+far, whatever words they belong to; line feeds stand before the first of them.
 
 Learning. Blocks send their distinct context-and-symbol pairs with their counts
 in the training documents to shards, which add them up. A context is retained
@@ -120,11 +120,8 @@ def spelt(data: bytes, lengths: np.ndarray, depth: int) -> tuple[np.ndarray, np.
     owner = np.repeat(np.arange(len(lengths)), lengths + 1)
     at = np.arange(len(owner)) + (begins[:-1] - np.append(0, np.cumsum(lengths + 1))[:-1])[owner]
     pairs = row[at].astype(np.int64)
-    inside = np.ones(len(at), bool)  # of the word so far
     for back in range(1, depth + 1):
-        symbol = row[at - back]
-        pairs |= np.where(inside, symbol, END).astype(np.int64) << (8 * back)
-        inside &= symbol != SPACE
+        pairs |= row[at - back].astype(np.int64) << (8 * back)
     return pairs, owner
 
 
