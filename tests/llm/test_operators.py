@@ -210,6 +210,14 @@ def test_suffix_tree_joined_scores_are_those_of_the_whole_tree(spark, docs):
     assert np.log10(found["chance"].to_numpy()) == pytest.approx(want, abs=1e-9)
 
 
+def test_suffix_tree_scores_do_not_depend_on_blocks(docs, monkeypatch):
+    one = listed(suffix_tree.report(docs), "doc_id", "n_tokens", "n_known", "score")
+    monkeypatch.setattr(text.blocks, "__defaults__", (5_000,))
+    many = listed(suffix_tree.report(docs), "doc_id", "n_tokens", "n_known", "score")
+    assert [r[:3] for r in one] == [r[:3] for r in many]
+    assert [r[3] for r in one] == pytest.approx([r[3] for r in many], rel=1e-6)
+
+
 def test_suffix_tree_tells_a_text_from_its_words_shuffled(spark):
     rows = [(i, "a b c d e f g h") for i in range(50)] + [(100, "a b c d e f g h"), (101, "h c a f d b g e")]
     scored = suffix_tree.train_and_score(spark.createDataFrame(rows, "doc_id long, text string"), F.col("doc_id") >= 100)

@@ -5,7 +5,7 @@ tree's symbols are bytes: a word is spelt out and closed by a space, the text
 by a line feed. A context is the last up to ``depth`` symbols of the text so
 far, whatever words they belong to; line feeds stand before the first of them.
 
-Learning. Blocks send their distinct context-and-symbol pairs with their counts
+Learning. Bundles of blocks send their distinct context-and-symbol pairs with their counts
 in the training documents to shards, which add them up. A context is retained
 if it was seen ``LEAST`` times and its next-symbol distribution diverges from
 that of the context one symbol shorter: the bits saved over the corpus must
@@ -18,8 +18,8 @@ Smoothing. A state's counts are interpolated with its parent's distribution,
 which weighs as many observations as the state has different symbols; the root
 is interpolated with equal shares of all 256 bytes.
 
-Scoring. The tree is joined, length by length, to every pair that some block
-holds; shards return the log10 probabilities to the blocks, which add them up
+Scoring. The tree is joined, length by length, to every pair that some bundle
+holds; shards return the log10 probabilities to the bundles, which add them up
 along the symbols of each document.
 
 Null counts as an empty text; a document without an id is a training document.
@@ -29,6 +29,7 @@ Every row gives one row; without training documents the tree is the root alone.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import batched
 
 import numpy as np
 import pyarrow as pa
@@ -61,6 +62,7 @@ DEPTH = 5  # symbols of a context, at most 6
 LEAST = 2  # times that a retained context was seen
 SPACE, END = 0x20, 0x0A
 SPREAD = 1_000_003  # a prime: deals pairs out to shards
+BUNDLE = 6  # blocks that ask together: most of their pairs are the same
 
 
 @dataclass
@@ -107,22 +109,22 @@ def _find(held: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return at, held[at] == wanted
 
 
-def spelt(data: bytes, lengths: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Every symbol of the texts with its context: pairs, and the texts they
-    belong to. ``data`` holds the texts' words, each with a space after it."""
+def spelt(data: bytes, lengths: np.ndarray, depth: int) -> np.ndarray:
+    """Every symbol of the texts with its context: pairs, each text's end
+    included. ``data`` holds the texts' words, each with a space after it."""
     pad = max(depth, 1)
     begins = pad + np.append(0, np.cumsum(lengths + pad))
     row = np.full(int(begins[-1]), END, np.uint8)
     edge = np.zeros(len(row) + 1, np.int8)
-    edge[begins[:-1]] += 1
-    np.subtract.at(edge, begins[:-1] + lengths, 1)
-    row[np.cumsum(edge[:-1]).astype(bool)] = np.frombuffer(data, np.uint8)
-    owner = np.repeat(np.arange(len(lengths)), lengths + 1)
-    at = np.arange(len(owner)) + (begins[:-1] - np.append(0, np.cumsum(lengths + 1))[:-1])[owner]
-    pairs = row[at].astype(np.int64)
+    edge[begins[:-1]] = 1
+    edge[begins[:-1] + lengths] -= 1
+    inside = np.cumsum(edge[:-1], dtype=np.int8).astype(bool)
+    row[inside] = np.frombuffer(data, np.uint8)
+    inside[begins[:-1] + lengths] = True
+    pairs = row.astype(np.int64)
     for back in range(1, depth + 1):
-        pairs |= row[at - back].astype(np.int64) << (8 * back)
-    return pairs, owner
+        pairs[back:] |= row[:-back].astype(np.int64) << (8 * back)
+    return pairs[inside]
 
 
 def states(grams: DataFrame, store: Store, depth: int = DEPTH, least_share: float = 0.0) -> DataFrame:
@@ -217,7 +219,7 @@ def _tree(rows: pa.Table, depth: int) -> Tree:
 
 @dataclass
 class Corpus:
-    """Documents packed into blocks that know which of them train. Shards below
+    """Documents packed into bundles that know which of them train. Shards below
     ``shards`` hold words, those from there on pairs."""
 
     packed: DataFrame
@@ -231,45 +233,64 @@ class Corpus:
 
 
 @dataclass
-class Questions:
-    """The distinct words and pairs of a block, by shard, each in ascending
-    order, and the number among them of each word and symbol."""
+class Piece:
+    """A block's distinct words and pairs, the number of each word and symbol
+    among them, and how many of these each text has."""
 
     words: pa.LargeBinaryArray
-    word_homes: np.ndarray
     codes: np.ndarray
     pairs: np.ndarray
-    pair_homes: np.ndarray
     symbols: np.ndarray
-    owner: np.ndarray  # the text of each symbol
+    n_words: np.ndarray
+    n_symbols: np.ndarray
 
 
-def _questions(data: bytes, first: np.ndarray, shards: int, depth: int) -> Questions:
-    """``data`` holds words, each with a space after it; text i has the words
-    first[i] to first[i + 1]."""
+def _piece(data: bytes, n_words: np.ndarray, depth: int) -> Piece:
+    """``data`` holds words, each with a space after it."""
     raw = np.frombuffer(data, np.uint8)
     spaces = raw == SPACE
     ends = np.append(0, np.flatnonzero(spaces) + 1)  # of the words with their spaces
     distinct, codes = numbered(binary_array(ends - np.arange(len(ends)), raw[~spaces]))
+    lengths = np.diff(ends[np.append(0, np.cumsum(n_words, dtype=np.int64))])
+    coded = pa.array(spelt(data, lengths, depth)).dictionary_encode()
+    return Piece(distinct, codes, coded.dictionary.to_numpy(), coded.indices.to_numpy(), n_words, lengths + 1)
+
+
+@dataclass
+class Questions:
+    """The distinct words and pairs of a bundle, by shard, and the number among
+    them of those of each piece."""
+
+    words: pa.LargeBinaryArray
+    word_homes: np.ndarray
+    word_at: list[np.ndarray]
+    pairs: np.ndarray
+    pair_homes: np.ndarray
+    pair_at: list[np.ndarray]
+
+
+def _questions(pieces: list[Piece], shards: int) -> Questions:
+    distinct, word = numbered(pa.chunked_array([p.words for p in pieces]).combine_chunks())
     homes = np.fromiter((xxhash.xxh32_intdigest(x) for x in distinct.to_pylist()), np.uint32, len(distinct)) % shards
     order = pc.sort_indices(pa.table({"shard": homes, "word": distinct}), [("shard", "ascending"), ("word", "ascending")]).to_numpy()
-
-    pairs, owner = spelt(data, np.diff(ends[first]), depth)
-    coded = pa.array(pairs).dictionary_encode()
-    kinds, symbols = coded.dictionary.to_numpy(), coded.indices.to_numpy()
-    pair_homes = kinds % SPREAD % shards
-    pair_order = np.lexsort((kinds, pair_homes))
+    pairs, pair = np.unique(np.concatenate([p.pairs for p in pieces]), return_inverse=True)
+    pair_homes = (pairs % SPREAD % shards).astype(np.int32)
+    pair_order = np.argsort(pair_homes, kind="stable")
     return Questions(
         distinct.take(pa.array(order)),
         homes[order],
-        _places(order)[codes],
-        kinds[pair_order],
+        np.split(_places(order)[word], np.cumsum([len(p.words) for p in pieces])[:-1]),
+        pairs[pair_order],
         pair_homes[pair_order],
-        _places(pair_order)[symbols],
-        owner,
+        np.split(_places(pair_order)[pair], np.cumsum([len(p.pairs) for p in pieces])[:-1]),
     )
 
 
+def _added(counts: list[np.ndarray], at: list[np.ndarray], size: int) -> np.ndarray:
+    # A sum of whole numbers below 2^53 is exact.
+    return np.bincount(np.concatenate(at), np.concatenate(counts), minlength=size).astype(np.int64)
+
+
 def _places(order: np.ndarray) -> np.ndarray:
     place = np.empty(len(order), np.int32)
     place[order] = np.arange(len(order), dtype=np.int32)
@@ -290,24 +311,35 @@ def pack(
     )
 
     def cut(batches):
-        for number, table in zip(block_numbers(), blocks(batches, "text")):
-            found = words(table["text"], SOLID, lower=True)
-            held = table["held"].to_numpy().astype(bool)
-            text, _ = found.spaced()
-            asked = _questions(text, found.first, shards, depth)
-            counts = np.bincount(asked.codes[~held[found.owner()]], minlength=len(asked.words))
-            seen = np.bincount(asked.symbols[~held[asked.owner]], minlength=len(asked.pairs))
-            body = freeze(**keys(table["id"]), held=held.view(np.uint8), first=small(np.diff(found.first)), text=text)
+        for number, bundle in zip(block_numbers(), batched(blocks(batches, "text"), BUNDLE)):
+            pieces, texts, counts, seen = [], [], [], []
+            for table in bundle:
+                found = words(table["text"], SOLID, lower=True)
+                texts.append(found.spaced()[0])
+                piece = _piece(texts[-1], np.diff(found.first), depth)
+                trains = ~table["held"].to_numpy().astype(bool)
+                counts.append(np.bincount(piece.codes[np.repeat(trains, piece.n_words)], minlength=len(piece.words)))
+                seen.append(np.bincount(piece.symbols[np.repeat(trains, piece.n_symbols)], minlength=len(piece.pairs)))
+                pieces.append(piece)
+            asked = _questions(pieces, shards)
+            n, n_pairs = _added(counts, asked.word_at, len(asked.words)), _added(seen, asked.pair_at, len(asked.pairs))
+            rows = pa.concat_tables(bundle)
+            body = freeze(
+                **keys(rows["id"]),
+                held=rows["held"].to_numpy().astype(np.uint8),
+                n_words=[small(p.n_words) for p in pieces],
+                texts=texts,
+            )
             names, begin = dealt(asked.word_homes)
             data = [
-                freeze_words(asked.words.slice(a, b - a), counts=small(counts[a:b]))
-                for a, b in zip(begin, np.append(begin[1:], len(counts)))
+                freeze_words(asked.words.slice(a, b - a), counts=small(n[a:b]))
+                for a, b in zip(begin, np.append(begin[1:], len(n)))
             ]
             pair_names, begin = dealt(asked.pair_homes)
             # Ascending pairs as their steps.
             data += [
-                freeze(steps=small(np.diff(asked.pairs[a:b], prepend=0)), counts=small(seen[a:b]))
-                for a, b in zip(begin, np.append(begin[1:], len(seen)))
+                freeze(steps=small(np.diff(asked.pairs[a:b], prepend=0)), counts=small(n_pairs[a:b]))
+                for a, b in zip(begin, np.append(begin[1:], len(n_pairs)))
             ]
             shard = [BODY, *names.tolist(), *(pair_names + shards).tolist()]
             yield output(PACKED_ARROW, block=[number] * len(shard), shard=shard, data=[body, *data])
@@ -362,8 +394,7 @@ def count_pairs(corpus: Corpus, store: Store) -> tuple[DataFrame, int, int]:
 
 def _summed(pairs: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     distinct, code = np.unique(np.concatenate(pairs), return_inverse=True)
-    # A sum of whole numbers below 2^53 is exact.
-    return distinct, np.bincount(code, np.concatenate(counts), minlength=len(distinct)).astype(np.int64)
+    return distinct, _added(counts, [code], len(distinct))
 
 
 def score(corpus: Corpus, found: DataFrame, tokens: int, distinct: int) -> DataFrame:
@@ -405,26 +436,30 @@ def score(corpus: Corpus, found: DataFrame, tokens: int, distinct: int) -> DataF
 
     def add(table: pa.Table) -> pa.Table:
         _, body, answers = opened(table)
-        first = np.append(0, np.cumsum(body["first"], dtype=np.int64))
-        asked = _questions(body["text"], first, shards, depth)
+        pieces = [_piece(text, n.astype(np.int64), depth) for text, n in zip(body["texts"], body["n_words"])]
+        asked = _questions(pieces, shards)
         given = [a["answers"] for a in answers]
         n = len(np.unique(asked.word_homes))
         counts = np.concatenate(given[:n]) if n else np.zeros(0)
         logs = np.concatenate(given[n:]).astype(np.float64)
         if len(counts) != len(asked.words) or len(logs) != len(asked.pairs):
             raise ValueError("answers that do not match their block")
-        docs = len(body["ids"])
-        owner = np.repeat(np.arange(docs), body["first"])
         base = np.log10((counts.astype(np.float64) + 1) / floor)
+        total = lambda values, at, codes, sizes: np.bincount(
+            np.repeat(np.arange(len(sizes)), sizes), values[at][codes], minlength=len(sizes)
+        )
+        known = [total(counts > 0, at, p.codes, p.n_words) for p, at in zip(pieces, asked.word_at)]
+        bases = [total(base, at, p.codes, p.n_words) for p, at in zip(pieces, asked.word_at)]
+        scores = [total(logs, at, p.symbols, p.n_symbols) for p, at in zip(pieces, asked.pair_at)]
         return pa.table(
             [
                 key_array(body),
                 pa.array(body["held"].astype(bool)),
-                pa.array(np.diff(first) + 1),
-                pa.array(np.bincount(owner, (counts > 0)[asked.codes], minlength=docs).astype(np.int64) + (train_docs > 0)),
-                pa.array(np.full(docs, tokens)),
-                pa.array(np.bincount(owner, base[asked.codes], minlength=docs) + end_base),
-                pa.array(np.bincount(asked.owner, logs[asked.symbols], minlength=docs)),
+                pa.array(np.concatenate([p.n_words for p in pieces]) + 1),
+                pa.array(np.concatenate(known).astype(np.int64) + (train_docs > 0)),
+                pa.array(np.full(len(body["ids"]), tokens)),
+                pa.array(np.concatenate(bases) + end_base),
+                pa.array(np.concatenate(scores)),
             ],
             schema=result,
         )
