@@ -215,3 +215,17 @@ def test_registered():
     assert "pipeline" in names
     for n in range(1, 11):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
+
+
+@pytest.mark.parametrize("area", ["017", "117", "938"])
+def test_phones_of_any_area_code(area):
+    numbers = [f"+1 ({area}) 555-{n:04d}" for n in range(0, 10_000, 97)]
+    fresh = [pii.pseudonymized(n) for n in numbers]
+    assert all(kinds == ["phone"] and new != old for old, (new, kinds) in zip(numbers, fresh))
+    assert len({new for new, _ in fresh}) == len(numbers)
+
+
+@pytest.mark.parametrize("name", ["TOKEN", "PASSWORD", "Secret", "API_KEY", "ApiKey"])
+def test_names_of_secrets_in_any_case(name):
+    new, kinds = pii.pseudonymized(f'{name} = "9233A8EC01D47B65"')
+    assert kinds == ["secret"] and new.startswith(f'{name} = "') and "9233A8EC01D47B65" not in new

@@ -1,8 +1,9 @@
 """Format-preserving pseudonyms for private values.
 
 Values are found by their format and validated: card numbers by their check
-digit, phone and social-security numbers by the ranges in use, IBANs by their
-remainder, IPv4 addresses by their octets, dates by the calendar. A keyed
+digit, social-security numbers by the ranges in use, IBANs by their remainder,
+IPv4 addresses by their octets, dates by the calendar. Phone numbers of any area
+code count, and names of secrets in any case. A keyed
 Feistel network permutes each value within the values of its format: digits
 stay digits, a valid card number becomes a valid card number, a date a date. A
 permutation maps equal values to equal pseudonyms, so documents stay linked,
@@ -116,11 +117,12 @@ def _phone_valid(digits: str) -> bool:
 
 
 def _phone(found: str, key: bytes) -> str | None:
+    """Numbers in use are permuted among themselves, and so are all others."""
     digits = _only_digits(found)
     national = digits[-10:]
-    if not _phone_valid(national):
-        return None
-    return _digits_into(found, digits[:-10] + _mapped(national, [_DIGITS] * 10, key, "phone", _phone_valid))
+    planned = _phone_valid(national)
+    fresh = _mapped(national, [_DIGITS] * 10, key, "phone", lambda d: _phone_valid(d) == planned)
+    return _digits_into(found, digits[:-10] + fresh)
 
 
 def _ssn_valid(digits: str) -> bool:
@@ -218,7 +220,7 @@ KINDS: dict[str, tuple[str, Callable[[str, bytes], str | None]]] = {
     "mail": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}", _mail),
     "access": (r"\b(?:AKIA|ASIA)[A-Z0-9]{16}\b", _access_key),
     "secret": (
-        r"\b(?:[Pp]assword|[Pp]asswd|[Tt]oken|[Ss]ecret|[Aa]pi_?[Kk]ey)\s*[=:]\s*[\"']?[A-Za-z0-9_/+.-]*[A-Za-z0-9_/+-]",
+        r"\b(?i:password|passwd|token|secret|api_?key)\s*[=:]\s*[\"']?[A-Za-z0-9_/+.-]*[A-Za-z0-9_/+-]",
         _secret,
     ),
     "iban": (r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b", _iban),
