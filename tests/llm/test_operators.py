@@ -133,6 +133,21 @@ def test_license_with_words_put_in_and_left_out(spark):
     assert got == {(1, "bsd"), (2, "")}
 
 
+def test_license_split_over_diagonals(spark):
+    """No diagonal holds half of the notice's 20 words, or the longest is at the edge."""
+    words = licenses.NOTICES[3][1].split()
+    assert len(words) == 20
+    put_in = [*words[:7], "so", *words[7:14], "so", *words[14:]]
+    left_out = [*words[:7], *words[8:14], *words[15:]]
+    apart = [*words[:5], "so", "so", *words[5:12], "so", "so", *words[12:]]
+    texts = [put_in, left_out, apart, words, words[:7]]
+    rows = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: (r.labels, r.score) for r in licenses.report(rows).collect()}
+    assert got == {0: ("mit", 1.0), 1: ("mit", 0.9), 2: ("mit", 1.0), 3: ("mit", 1.0), 4: ("", 0.0)}
+    spans = {r.doc_id: [(s.template, s["first"]) for s in r.spans] for r in licenses.scan(rows).collect()}
+    assert spans == {0: [(6, 0)], 1: [(6, 0)], 2: [(6, 2)], 3: [(6, 0)], 4: []}
+
+
 @pytest.mark.parametrize("rows_a_block", [3, 256])
 def test_topk(spark, rows_a_block, monkeypatch):
     monkeypatch.setattr(topk, "BLOCK_ROWS", rows_a_block)

@@ -4,9 +4,12 @@ Texts and templates are words of letters and digits, A-Z lower-cased. Spark
 joins every pair of consecutive words of every text, by a hash and then by the
 words themselves, to the pairs of the templates, a table of fixed size. A pair
 found at word p of a text and word t of a template votes for the diagonal
-p - t and covers two words of the template. Votes of diagonals up to ``DRIFT``
-apart are merged, which bridges inserted and missing words, and the merged
-span is verified: it counts if it covers ``COVER`` of its template.
+p - t and covers two words of the template. Each diagonal is merged with those
+up to ``DRIFT`` away, which bridges inserted and missing words, and the merged
+span is verified: it counts if it covers ``COVER`` of its template, however its
+words are spread over the diagonals. Of spans up to ``DRIFT`` apart the one that
+covers most counts, then the one with most words on its own diagonal, then the
+smallest diagonal.
 
 Base phrases must stand word for word, that is, one diagonal must cover them
 wholly; all their places are counted. Null counts as an empty text. Every row
@@ -166,8 +169,8 @@ def scan(
     near = Window.partitionBy("row", "template").orderBy("diagonal").rangeBetween(-DRIFT, DRIFT)
     own = F.bit_count("covered")
     merged = F.when(F.col("base"), own).otherwise(F.bit_count(F.bit_or("covered").over(near)))
-    best = F.max(own).over(near)
-    spans = votes.select(
+    rank = F.struct("merged", "own", -F.col("diagonal"))
+    spans = votes.withColumns({"own": own, "merged": merged}).select(
         "row",
         "id",
         "least",
@@ -175,9 +178,9 @@ def scan(
         "label",
         "base",
         F.greatest("diagonal", F.lit(0)).alias("first"),
-        (merged / F.col("words")).alias("cover"),
-        # of merged diagonals the one with most votes stands for all
-        ((own == best) & (2 * own >= F.when(F.col("base"), 2 * F.col("words")).otherwise(F.col("words")))).alias("leads"),
+        (F.col("merged") / F.col("words")).alias("cover"),
+        # of merged diagonals one stands for all
+        F.when(F.col("base"), F.col("own") == F.col("words")).otherwise(rank == F.max(rank).over(near)).alias("leads"),
     )
     span = F.struct("label", "template", "base", "first", "cover")
     counts = F.col("template").isNull()
