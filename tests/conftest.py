@@ -38,3 +38,11 @@ def small_ensembles():
     for settings in (learn.SUBMIT, learn.CROSS_VALIDATE, learn.CATEGORICAL):
         settings["maxIter"] = 5
     Workspace.trees = 2
+
+
+@pytest.fixture(scope="session", autouse=True)
+def small_search():
+    """Few folds and rounds in the registered searches for a number of rounds."""
+    from trolley.operators import learn
+
+    learn.SEARCH.update(k=2, max_rounds=5)

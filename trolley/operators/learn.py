@@ -47,6 +47,7 @@ SUBMIT = {
 # label, so that 0.7 would forbid every split. Summed over rows, 0.7 is next to 0.
 CROSS_VALIDATE = {**SUBMIT, "stepSize": 0.1, "minInfoGain": 0.0, "maxIter": 80, "seed": 10}
 CATEGORICAL = {"stepSize": 0.05, "maxDepth": 8, "maxIter": 100, "seed": 42}
+SEARCH = {"k": 5, "max_rounds": 200, "patience": 20}
 ROUND_SWEEP = [250, 350, 400, 450, 500]
 THRESHOLD = 0.202
 FIT_PARTITIONS = 8
@@ -223,9 +224,9 @@ def gbt_round_sweep(
 
 def gbt_rounds(
     vectors: DataFrame,
-    k: int = 5,
-    max_rounds: int = 200,
-    patience: int = 20,
+    k: int = SEARCH["k"],
+    max_rounds: int = SEARCH["max_rounds"],
+    patience: int = SEARCH["patience"],
     params: Mapping[str, object] | None = None,
 ) -> tuple[int, DataFrame]:
     """Number of rounds by cross-validated loss, stopping once the mean over

@@ -35,9 +35,6 @@ DIGITS = 9
 # Few users of the derived tables reorder only, so the habit queries also run
 # at a share of reorder-only orders that some users reach.
 LENIENT = 0.25
-# The categorical queries boost less than their operator does by itself, where a
-# round takes a second whatever the size of the data.
-FEW = {"maxIter": 10, "maxDepth": 5}
 
 QUERIES: dict[str, Query] = {}
 
@@ -530,7 +527,7 @@ def gbt_train(ws):
 @_query
 def gbt_categorical_lists(ws):
     """Lists of every test order from the categorical model."""
-    scored = learn.gbt_categorical(ws.train, ws.test, params=FEW, validate=False)[1]
+    scored = learn.gbt_categorical(ws.train, ws.test, validate=False)[1]
     return decode.complete_lists(scored, LIMIT)
 
 
@@ -564,21 +561,18 @@ def gbt_cv_f1(ws):
 
 @_query
 def gbt_rounds(ws):
-    return learn.gbt_rounds(ws.vectors, k=2, max_rounds=10, params={})[1]
+    return learn.gbt_rounds(ws.vectors, **learn.SEARCH)[1]
 
 
 @_query
 def gbt_categorical(ws):
     seen, held = matrix_ops.split_rows(ws.train, ["user_id"])
-    return learn.gbt_categorical(seen, held, params=FEW)[1]
+    return learn.gbt_categorical(seen, held)[1]
 
 
 @_query
 def gbt_categorical_cv_f1(ws):
-    params = FEW
-    return learn.gbt_cv_f1(
-        ws.train, ws.truth, ws.store, k=2, params=params, categorical=["aisle_id"]
-    )
+    return learn.gbt_cv_f1(ws.train, ws.truth, ws.store, categorical=["aisle_id"])
 
 
 @_query
@@ -655,7 +649,7 @@ def oof_stack_extra(ws):
         return vectors.join(pair, "user_id", "left").fillna(0.0, ["taste"])
 
     def meta(vectors):
-        rounds, _ = learn.gbt_rounds(vectors, k=2, max_rounds=5)
+        rounds, _ = learn.gbt_rounds(vectors, **learn.SEARCH)
         return learn.gbt_train(vectors, {"maxIter": rounds})
 
     models = _learners(ws, "ridge", "lasso")
