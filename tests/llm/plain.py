@@ -156,3 +156,53 @@ def removed(docs, size=20):
         kept = b" ".join(x for i, x in enumerate(w) if i not in gone[n])
         result.append((doc, len(w), len(gone[n]), sha(kept)))
     return result
+
+
+def _hashed(parts):
+    return sha("".join(parts).encode())
+
+
+def _folded(digests, fanout=16):
+    """Levels of a tree, from the leaves to the root."""
+    levels = [digests]
+    while len(levels[-1]) > 1:
+        last = levels[-1]
+        levels.append([_hashed(last[i : i + fanout]) for i in range(0, len(last), fanout)])
+    return levels
+
+
+def merkle(docs):
+    """``docs`` are (doc_id, text, lang, source, n_chars)."""
+
+    def leaf(doc, text, lang, source, n):
+        fields = [None if f is None else str(f) for f in (doc, source, lang, n, text)]
+        return _hashed("-" if f is None else f"{len(f.encode())}:{f}" for f in fields)
+
+    def order(row):
+        return row[0] is not None, row[0] or 0, leaf(*row)
+
+    groups = defaultdict(list)
+    for row in docs:
+        groups[row[3]].append(row)
+    names = sorted(groups, key=lambda s: (s is not None, (s or "").encode()))
+    trees = {}
+    for name in names:
+        groups[name].sort(key=order)
+        trees[name] = _folded([leaf(*row) for row in groups[name]])
+    top = _folded([trees[name][-1][0] for name in names])
+    result = []
+    for rank, name in enumerate(names):
+        for at, row in enumerate(groups[name]):
+            doc, text, *rest = row
+            node = leaf(*row)
+            if doc is not None and text is not None and zlib.crc32(str(doc).encode()) % 5 == 0:
+                node = leaf(doc, lower(text).decode(), *rest)
+            proof, height = "", 0
+            for start, levels in ((at, trees[name]), (rank, top)):
+                for level in levels[:-1]:
+                    run = level[start // 16 * 16 : start // 16 * 16 + 16]
+                    left, right = "".join(run[: start % 16]), "".join(run[start % 16 + 1 :])
+                    proof, node, start, height = proof + left + right, _hashed([left, node, right]), start // 16, height + 1
+            root = top[-1][0]
+            result.append((doc, leaf(*row), trees[name][-1][0], root, sha(proof.encode()), node, height, node == root))
+    return sorted(result, key=str)
