@@ -206,3 +206,48 @@ def merkle(docs):
             root = top[-1][0]
             result.append((doc, leaf(*row), trees[name][-1][0], root, sha(proof.encode()), node, height, node == root))
     return sorted(result, key=str)
+
+
+def words_of(docs):
+    """Counts of the runs of letters, one in 31 of them without one code point."""
+    counts = Counter()
+    for doc, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text):
+            run = lower(run).decode()
+            h = zlib.crc32(f"{'' if doc is None else doc}:{run}".encode())
+            if h % 31 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            counts[run] += 1
+    return {w: n for w, n in counts.items() if len(w) >= 7 and n >= 2}
+
+
+def spelling(counts, ratio=10):
+    def distance_one(a, b):
+        if len(a) > len(b):
+            a, b = b, a
+        if len(b) - len(a) > 1 or a == b:
+            return False
+        rest = b if len(a) < len(b) else None
+        for i in range(len(b)):
+            if rest is None and a[:i] == b[:i] and a[i + 1 :] == b[i + 1 :]:
+                return True
+            if rest is not None and a == b[:i] + b[i + 1 :]:
+                return True
+        return False
+
+    by_length = defaultdict(list)
+    for w in counts:
+        by_length[len(w)].append(w)
+    forms, near_counts = {}, {}
+    for w in counts:
+        near = [o for size in range(len(w) - 1, len(w) + 2) for o in by_length[size] if distance_one(w, o)]
+        near_counts[w] = len(near)
+        best = min(near, key=lambda o: (-counts[o], o), default=None)
+        forms[w] = best if best is not None and counts[best] >= ratio * counts[w] else None
+    result = []
+    for w, n in counts.items():
+        root = w
+        while forms[root] is not None:
+            root = forms[root]
+        result.append((w, forms[w], root, n, near_counts[w], counts.get(forms[w])))
+    return sorted(result, key=str)

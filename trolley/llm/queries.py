@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, licenses, merkle, pii, quality, simhash, substring, suffix_tree, topk, toxicity
+from . import bpe, decontam, licenses, merkle, pii, quality, simhash, spelling, substring, suffix_tree, topk, toxicity
 from .queries_sql import SQL as SQL
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -64,6 +64,10 @@ def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.report(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.report(table(spark, sf_dir, "documents"))
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.report(table(spark, sf_dir, "documents"))
 
@@ -79,5 +83,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_tree": op8_suffix_tree,
     "op9_decontamination": op9_decontamination,
     "op10_substring": op10_substring,
+    "op11_spelling": op11_spelling,
     "op13_merkle": op13_merkle,
 }

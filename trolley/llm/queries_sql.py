@@ -80,4 +80,38 @@ JOIN climb c ON c.rid = p.rid AND NOT c.more JOIN heights h ON h.rid = p.rid JOI
 CROSS JOIN (SELECT digest FROM top WHERE n = 1) t
 """
 
-SQL: dict[str, str] = {"op13_merkle": MERKLE}
+SPELLING = f"""
+WITH RECURSIVE runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS doc,
+    translate(unnest(regexp_extract_all(text, '[A-Za-z\u00c0-\u00ff]+')), {_AZ}) AS run
+  FROM documents
+), hashed AS (
+  SELECT run, {_crc32("concat(doc, ':', run)")} AS h, n
+  FROM (SELECT doc, run, count(*) AS n FROM runs WHERE length(run) >= 7 GROUP BY doc, run)
+), words AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word,
+    sum(n)::BIGINT AS n
+  FROM hashed GROUP BY 1 HAVING sum(n) >= 2 AND length(word) >= 7
+), shorter AS (
+  SELECT word, i AS at, substr(word, 1, i) || substr(word, i + 2) AS rest
+  FROM words, LATERAL (SELECT unnest(range(length(word))) AS i)
+), near AS (
+  SELECT a.word, b.word AS other FROM shorter a JOIN shorter b ON a.at = b.at AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT s.word, w.word FROM shorter s JOIN words w ON w.word = s.rest
+  UNION SELECT w.word, s.word FROM shorter s JOIN words w ON w.word = s.rest
+), best AS (
+  SELECT near.word, count(*) AS n_near, max(o.n) AS most, arg_min(other, (-o.n, other)) AS other
+  FROM near JOIN words o ON o.word = near.other GROUP BY near.word
+), forms AS (
+  SELECT word, CASE WHEN most >= 10 * n THEN other END AS form, n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN most >= 10 * n THEN most END AS form_n
+  FROM words LEFT JOIN best USING (word)
+), chain AS (
+  SELECT word, word AS root FROM forms
+  UNION ALL SELECT c.word, f.form FROM chain c JOIN forms f ON f.word = c.root WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.form, c.root, f.n, f.n_near, f.form_n
+FROM forms f JOIN chain c USING (word) JOIN forms e ON e.word = c.root AND e.form IS NULL
+"""
+
+SQL: dict[str, str] = {"op11_spelling": SPELLING, "op13_merkle": MERKLE}
