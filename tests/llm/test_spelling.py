@@ -35,7 +35,7 @@ def cloud(seed, letters, lengths, n):
     return {w: int(10 ** rng.uniform(0.4, 5)) for w in sorted(words)}
 
 
-@pytest.mark.parametrize("block_words", [1 << 15, 8])
+@pytest.mark.parametrize("block_words", [1 << 15, 64])
 @pytest.mark.parametrize("letters, lengths", [("ab", (1, 9)), ("abcé", (5, 9)), ("abcdefghij", (7, 9))])
 def test_dense_vocabularies(spark, letters, lengths, block_words):
     counts = cloud(3, letters, lengths, 900)
@@ -46,7 +46,7 @@ def test_dense_vocabularies(spark, letters, lengths, block_words):
 def test_a_prefix_that_fills_many_blocks(spark):
     counts = {"internationally" + w: n for w, n in cloud(5, "abc", (1, 7), 700).items()}
     frame = spark.createDataFrame(list(counts.items()), "word string, n long")
-    assert shown(spelling.variants(frame, block_words=16)) == plain.spelling(counts)
+    assert shown(spelling.variants(frame, block_words=64)) == plain.spelling(counts)
 
 
 def test_chains_of_forms(spark):
