@@ -251,3 +251,35 @@ def spelling(counts, ratio=10):
             root = forms[root]
         result.append((w, forms[w], root, n, near_counts[w], counts.get(forms[w])))
     return sorted(result, key=str)
+
+
+def minhash(docs, percent=80):
+    """``docs`` in any order, ids may repeat: rows are judged by their texts."""
+    sets = []
+    for _, text in docs:
+        w = SOLID.findall(lower(text))
+        sets.append({tuple(w[i : i + 2]) for i in range(len(w) - 1)} or ({tuple(w)} if w else set()))
+    root = list(range(len(docs)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            if not a or not b or 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
+                continue
+            common = len(a & b)
+            if 100 * common >= percent * (len(a) + len(b) - common):
+                root[find(i)] = find(j)
+    least = {}
+    for i, (doc, _) in enumerate(docs):
+        if doc is not None:
+            least[find(i)] = min(doc, least.get(find(i), doc))
+    result = []
+    for i, (doc, _) in enumerate(docs):
+        label = None if doc is None else least[find(i)]
+        result.append((doc, len(sets[i]), label, doc is not None and doc == label))
+    return sorted(result, key=str)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, licenses, merkle, pii, quality, simhash, spelling, substring, suffix_tree, topk, toxicity
+from . import bpe, decontam, licenses, merkle, minhash, pii, quality, simhash, spelling, substring, suffix_tree, topk, toxicity
 from .queries_sql import SQL as SQL
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -68,6 +68,10 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.report(table(spark, sf_dir, "documents"))
 
 
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.report(table(spark, sf_dir, "documents"))
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.report(table(spark, sf_dir, "documents"))
 
@@ -84,5 +88,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontamination": op9_decontamination,
     "op10_substring": op10_substring,
     "op11_spelling": op11_spelling,
+    "op12_minhash": op12_minhash,
     "op13_merkle": op13_merkle,
 }

@@ -114,4 +114,25 @@ SELECT f.word, f.form, c.root, f.n, f.n_near, f.form_n
 FROM forms f JOIN chain c USING (word) JOIN forms e ON e.word = c.root AND e.form IS NULL
 """
 
-SQL: dict[str, str] = {"op11_spelling": SPELLING, "op13_merkle": MERKLE}
+MINHASH = f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(text, {_AZ}), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN w IS NULL OR len(w) = 0 THEN [] WHEN len(w) = 1 THEN w
+    ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS members
+  FROM words
+), shingles AS (SELECT doc_id, len(members) AS n, unnest(members) AS shingle FROM sets),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+    AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM sets
+  UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b
+), least_of AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, len(members)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sets JOIN least_of USING (doc_id)
+"""
+
+SQL: dict[str, str] = {"op11_spelling": SPELLING, "op12_minhash": MINHASH, "op13_merkle": MERKLE}
