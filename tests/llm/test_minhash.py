@@ -63,7 +63,26 @@ def test_limits_keep_similar_pairs_and_drop_others():
         differing = (rng.random((20_000, minhash.BATCHES, minhash.BATCH)) < (1 - s) / 2).sum(2).cumsum(1)
         kept[s] = (differing <= limits).all(1).mean()
     assert kept[0.9] == kept[0.8] == 1
-    assert kept[0.3] < 1e-3
+    assert kept[0.3] < 0.01
+
+
+def test_parities_differ_in_no_more_bits_than_sets_in_shingles():
+    rng = np.random.default_rng(0)
+    sets = [np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64)) for n in (40, 300, 3000)]
+    sets += [np.unique(np.concatenate([s[5:], rng.integers(0, 1 << 63, 7, dtype=np.uint64)])) for s in sets]
+    first = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+    words = minhash._signatures(np.concatenate(sets), first)[1][:, minhash.BATCHES :].astype(np.int64).view(np.uint64)
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            flipped = sum(int(x ^ y).bit_count() for x, y in zip(words[i].tolist(), words[j].tolist()))
+            assert flipped <= len(np.setxor1d(a, b))
+            assert flipped == 0 if i == j else flipped > 0
+
+
+def test_many_short_texts(spark):
+    rows = [(i, f"t{i % 5000}", "en", "a", 1) for i in range(9000)]
+    got = minhash.report(spark.createDataFrame(rows, plain.SCHEMA)).collect()
+    assert {(r.doc_id, r.component_id) for r in got} == {(i, i % 5000) for i in range(9000)}
 
 
 def test_posterior_falls_with_each_differing_bit():

@@ -36,6 +36,21 @@ def connected(links: DataFrame, store: Store) -> DataFrame:
     raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
 
 
+def follow(pointers: DataFrame, store: Store) -> DataFrame:
+    """(node, label) of each row of ``pointers`` (a, b), one for each ``a`` and ``b``
+    below ``a``: where its chain of pointers ends. Each round a pointer
+    becomes that of the node it points at."""
+    chains = store.put(pointers.select(F.col("a").alias("node"), F.col("b").alias("label")), "chains")
+    for _ in range(MAX_ROUNDS):
+        ahead = chains.select(F.col("node").alias("label"), F.col("label").alias("next"))
+        longer = chains.join(ahead, "label", "left")
+        moved = F.col("next").isNotNull().alias("moved")
+        chains = store.put(longer.select("node", F.coalesce("next", "label").alias("label"), moved), "chains")
+        if chains.filter("moved").isEmpty():
+            return chains.select("node", "label")
+    raise RuntimeError(f"pointers did not end in {MAX_ROUNDS} rounds")
+
+
 def _oriented(links: DataFrame) -> DataFrame:
     return links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
 
