@@ -46,3 +46,4 @@ def small_search():
     from trolley.operators import learn
 
     learn.SEARCH.update(k=2, max_rounds=5)
+    learn.ROUND_SWEEP[:] = [2, 4]

@@ -17,10 +17,10 @@ def ws(spark):
 
 
 def test_pca_against_svd(ws):
-    table = ws.crosstab.toPandas().set_index("user_id").sort_index()
+    table = ws.aisle_counts.toPandas().pivot(index="user_id", columns="aisle", values="n").fillna(0).sort_index()
     centred = table.to_numpy(float) - table.to_numpy(float).mean(axis=0)
     _, _, rows = np.linalg.svd(centred, full_matrices=False)
-    scores, _ = segments.user_pca(ws.crosstab)
+    scores, _ = segments.user_pca(ws.aisle_counts)
     got = np.array([r["pc"] for r in scores.orderBy("user_id").collect()])
     for i in range(6):
         want = centred @ rows[i]
@@ -28,6 +28,15 @@ def test_pca_against_svd(ws):
         assert got[:, i] == pytest.approx(sign * want, abs=1e-6)
 
 
+def test_leading_vectors_of_close_values():
+    rng = np.random.default_rng(0)
+    basis = np.linalg.qr(rng.normal(size=(60, 60)))[0]
+    values = np.r_[5.0, 4.99, 3.0, np.linspace(2.9, 0.0, 57)]
+    got, vectors = segments.leading_vectors(basis @ np.diag(values) @ basis.T, 3)
+    assert got == pytest.approx(values[:3], abs=1e-9)
+    assert np.abs(np.sum(vectors * basis[:, :3], axis=0)) == pytest.approx(np.ones(3), abs=1e-7)
+
+
 def test_clusters_are_nearest_centres(ws):
     points, model = segments.user_clusters(segments.pca_pair(ws.components))
     rows = points.collect()

@@ -1,16 +1,18 @@
 """Registered model queries run at their operators' own settings."""
 
 import importlib.util
-import inspect
+import json
 from pathlib import Path
-from types import SimpleNamespace
 
 import pytest
 
-from trolley import registry
-from trolley.operators import learn, matrix_ops, stacking
+from trolley.operators import learn
+from trolley.registry import QUERIES
+from trolley.sources import Ledger
+from trolley.workspace import workspace
 
 ROOT = Path(__file__).resolve().parents[1] / "trolley"
+SF = "/root/testdata/sf0.001"
 
 
 def fresh(name: str):
@@ -27,47 +29,25 @@ def test_settings_as_written():
     written = fresh("operators.learn")
     assert written.SEARCH == {"k": 5, "max_rounds": 200, "patience": 20}
     assert (written.CATEGORICAL["maxIter"], written.CATEGORICAL["maxDepth"]) == (100, 8)
-
-
-class Anything:
-    def __getattr__(self, name):
-        return Anything()
-
-    def __call__(self, *args, **kw):
-        return Anything()
+    assert written.ROUND_SWEEP == [250, 350, 400, 450, 500]
 
 
 @pytest.mark.parametrize(
-    "query,operator",
+    "query, fits, settings",
     [
-        ("gbt_categorical", "gbt_categorical"),
-        ("gbt_categorical_lists", "gbt_categorical"),
-        ("gbt_categorical_cv_f1", "gbt_cv_f1"),
-        ("gbt_rounds", "gbt_rounds"),
-        ("oof_stack_extra", "gbt_rounds"),
+        ("gbt_cv_f1", 4, lambda: learn.CROSS_VALIDATE),
+        ("gbt_round_sweep", 4, lambda: learn.CROSS_VALIDATE | {"maxIter": max(learn.ROUND_SWEEP)}),
+        ("gbt_rounds", lambda: learn.SEARCH["k"], lambda: learn.SUBMIT | {"maxIter": learn.SEARCH["max_rounds"]}),
+        ("gbt_categorical", 1, lambda: learn.CATEGORICAL),
+        ("gbt_categorical_cv_f1", 4, lambda: learn.CATEGORICAL),
     ],
 )
-def test_queries_cut_no_setting(monkeypatch, query, operator):
-    written = fresh("operators.learn")
-    monkeypatch.setattr(learn, "SEARCH", written.SEARCH)
-    signature = inspect.signature(getattr(written, operator))
-    calls = []
-
-    def called(*args, **kw):
-        calls.append(signature.bind(*args, **kw))
-        return 7, Anything()
-
-    monkeypatch.setattr(learn, operator, called)
-    monkeypatch.setattr(learn, "gbt_train", Anything())
-    monkeypatch.setattr(learn, "base_learners", lambda *_: {"ridge": None, "lasso": None})
-    monkeypatch.setattr(matrix_ops, "split_rows", lambda *_: (None, None))
-    monkeypatch.setattr(stacking, "oof_stack", lambda a, b, c, meta, *_, **__: SimpleNamespace(test=meta(a)))
-    monkeypatch.setattr(registry, "segments", Anything())
-    monkeypatch.setattr(registry, "decode", Anything())
-    monkeypatch.setattr(registry, "workspace", lambda *_: Anything())
-    monkeypatch.setattr(registry, "F", Anything())
-    registry.QUERIES[query](None, "")
-    (call,) = calls
-    for name in ("params", "k", "max_rounds", "patience"):
-        if name in call.arguments:
-            assert call.arguments[name] == signature.parameters[name].default
+def test_models_have_the_settings(spark, tmp_path, monkeypatch, query, fits, settings):
+    """The query's fits, as the ledger has kept them."""
+    monkeypatch.setattr(workspace(spark, SF), "ledger", Ledger(spark, str(tmp_path / "ledger")))
+    assert QUERIES[query](spark, SF).count() > 0
+    kept = [json.loads(f.read_text()) for f in tmp_path.glob("ledger/*/*/result/metadata/part-*")]
+    assert len(kept) == (fits() if callable(fits) else fits)
+    for model in kept:
+        known = model["defaultParamMap"] | model["paramMap"]
+        assert {k: known[k] for k in settings()} == settings()

@@ -3,11 +3,13 @@
 import datetime as dt
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from trolley.operators import ranking
+from trolley.functions.stats import GroupFunction
+from trolley.operators import groups, ranking
 from trolley.plans import features
 from trolley.sources import Store, fixtures
 from trolley.workspace import workspace
@@ -64,12 +66,55 @@ def test_quantiles_of_large_groups(spark):
     data = [(1 if rng.random() < 0.7 else 2, rng.randrange(50) / 4) for _ in range(500)]
     df = spark.createDataFrame(data + [(3, 1.0), (3, None)], "k int, v double")
     probs = [0.0, 0.25, 0.5, 0.75, 1.0]
-    few = ranking.group_quantiles(df, ["k"], "v", probs)
-    many = ranking.group_quantiles(df, ["k"], "v", probs, largest_group=1)
-    for a, b in zip(few.orderBy("k").collect(), many.orderBy("k").collect()):
-        assert (a["k"], a["count"]) == (b["k"], b["count"])
-        assert a["mean"] == pytest.approx(b["mean"])
-        assert a["quantiles"] == pytest.approx(b["quantiles"])
+    got = ranking.group_quantiles(df, ["k"], "v", probs).orderBy("k").collect()
+    for row in got:
+        values = [v for k, v in [*data, (3, 1.0)] if k == row["k"]]
+        assert row["count"] == len(values)
+        assert row["mean"] == pytest.approx(sum(values) / len(values))
+        assert row["quantiles"] == pytest.approx(np.quantile(values, probs).tolist())
+
+
+def test_join_with_an_aggregate_on_a_hot_key_is_split(spark):
+    """With the statistics joined back, the rows of a hot key are split."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        key = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 1000).cast("int")
+        df = spark.range(0, 400_000, 1, 16).select(key.alias("k"), F.xxhash64("id").alias("v"))
+        joined = groups.group_stats_multi(df, ["k"], {"v": {"n": "count", "most": "max"}}, only_new=False)
+        assert len(joined.collect()) == 400_000
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_functions_of_the_caller_beside_built_in_ones(spark):
+    largest = GroupFunction(
+        "two_largest",
+        lambda v: np.sort(np.append(v, [-np.inf, -np.inf]))[-2:],
+        lambda states: np.sort(states.ravel())[-2:],
+        lambda state: state[0] if np.isfinite(state[0]) else state[1],
+    )
+    rng = random.Random(5)
+    data = [(1 if rng.random() < 0.7 else rng.randrange(2, 40), rng.random()) for _ in range(5000)]
+    df = spark.createDataFrame([*data, (50, None), (None, 9.0)], "k int, v double").repartition(7)
+    got = groups.group_stats_multi(df, ["k"], {"v": {"n": "count", "second": largest, "mid": "median", "top": "max"}})
+    for row in got.collect():
+        values = sorted(v for k, v in data if k == row["k"])
+        if row["k"] == 50:
+            assert (row["n"], row["second"]) == (0, None)
+        else:
+            assert (row["n"], row["second"], row["top"]) == (len(values), values[-2], values[-1])
 
 
 def test_ordinals_and_streaks_in_blocks(ws):

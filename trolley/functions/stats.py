@@ -2,12 +2,66 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-Stat = str | Callable[[Column], Column]
+SALTS = 64
+
+
+@dataclass(frozen=True)
+class GroupFunction:
+    """A caller's own aggregate on arrays, which may stand beside built-in ones.
+
+    ``partial`` turns some of a group's values into a state, a row of numbers;
+    ``merge`` turns several states, one a row, into one; ``finish`` turns the last
+    state into the result. Values become states where they are read, batch by
+    batch, and states are merged in ``SALTS`` parts before they meet, so that no task
+    ever holds a whole group. Missing values are left out; a group without
+    values gets no result."""
+
+    name: str
+    partial: Callable[[np.ndarray], Sequence[float]]
+    merge: Callable[[np.ndarray], Sequence[float]]
+    finish: Callable[[np.ndarray], float]
+
+    @property
+    def __name__(self) -> str:
+        return self.name
+
+    def over_groups(self, df: DataFrame, keys: Sequence[str], column: str, new: str) -> DataFrame:
+        """(keys, new): the result of each group, a double."""
+        keys = list(keys)
+        given = df.filter(F.col(column).isNotNull()).select(*keys, F.col(column).cast("double").alias("_value"))
+        kinds = [given.schema[k] for k in keys]
+        salt, state = T.StructField("_salt", T.IntegerType()), T.StructField("_state", T.ArrayType(T.DoubleType()))
+
+        def start(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for at, rows in enumerate(batches):
+                states = rows.groupby(keys, sort=False)["_value"].agg(lambda v: list(map(float, self.partial(v.to_numpy()))))
+                yield states.rename("_state").reset_index().assign(_salt=at % SALTS)[[*keys, "_salt", "_state"]]
+
+        def merged(rows: pd.DataFrame) -> pd.DataFrame:
+            one = rows.iloc[:1].copy()
+            one["_state"] = [list(map(float, self.merge(np.array(rows["_state"].tolist()))))]
+            return one
+
+        def ended(rows: pd.DataFrame) -> pd.DataFrame:
+            one = rows.iloc[:1][keys].copy()
+            one[new] = float(self.finish(np.asarray(merged(rows)["_state"].iloc[0])))
+            return one
+
+        states = given.mapInPandas(start, T.StructType([*kinds, salt, state]))
+        parts = states.groupBy(*keys, "_salt").applyInPandas(merged, states.schema)
+        return parts.groupBy(*keys).applyInPandas(ended, T.StructType([*kinds, T.StructField(new, T.DoubleType())]))
+
+
+Stat = str | Callable[[Column], Column] | GroupFunction
 
 STATS: dict[str, Callable[[Column], Column]] = {
     "count": F.count,

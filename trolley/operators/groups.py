@@ -7,7 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.stats import Stat, named_stat
+from ..functions.stats import GroupFunction, Stat, named_stat
+from ..sources.store import Store
 from .ranking import group_quantiles
 
 
@@ -24,21 +25,19 @@ def _aggregate(
     key belong to no group.
 
     Medians are joined from :func:`group_quantiles`; the built-in median would
-    hold all values of a group in one task.
+    hold all values of a group in one task. So are functions of the caller.
     """
     known = df.dropna(subset=keys)
-    plain = [
-        named_stat(stat)(F.col(column)).alias(new)
-        for column, new, stat in wanted
-        if stat != "median"
-    ]
+    apart = [w for w in wanted if w[2] == "median" or isinstance(w[2], GroupFunction)]
+    plain = [named_stat(stat)(F.col(column)).alias(new) for column, new, stat in wanted if (column, new, stat) not in apart]
     grouped = known.groupBy(*keys).agg(*plain) if plain else known.select(*keys).distinct()
-    for column, new, stat in wanted:
+    for column, new, stat in apart:
         if stat == "median":
-            middle = group_quantiles(known, keys, column, [0.5]).select(
-                *keys, F.col("quantiles")[0].alias(new)
-            )
-            grouped = grouped.join(middle, keys, "left")
+            middle = group_quantiles(known, keys, column, [0.5])
+            own = middle.select(*keys, F.col("quantiles")[0].alias(new))
+        else:
+            own = stat.over_groups(known, keys, column, new)
+        grouped = grouped.join(own, keys, "left")
     return grouped.select(*keys, *[new for _, new, _ in wanted])
 
 
@@ -82,9 +81,10 @@ def group_stats_single(
 
 
 def _join_back(df: DataFrame, grouped: DataFrame, keys: Sequence[str]) -> DataFrame:
-    # Aggregating first and joining combines map-side and lets AQE split a hot
-    # key; agg().over(partitionBy(keys)) would hold the whole group in one task.
-    return df.join(grouped, list(keys), "left")
+    # agg().over(partitionBy(keys)) would hold a whole group in one task. The
+    # statistics are stored first: between an aggregate's shuffle and a join on the
+    # same key the skew join may split nothing, between a scan's and a join it may.
+    return df.join(Store(df.sparkSession).put(grouped, "statistics"), list(keys), "left")
 
 
 def group_box_stats(

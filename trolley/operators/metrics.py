@@ -53,19 +53,21 @@ def mean_f1_sets(truth: DataFrame, pred: DataFrame) -> DataFrame:
     return order_f1_sets(truth, pred).agg(F.avg("f1").alias("mean_f1"))
 
 
-def fold_scores(truth: DataFrame, folded: DataFrame) -> DataFrame:
+def fold_scores(truth: DataFrame, folded: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Mean F1 per fold, then the mean of the folds ('mean') and the F1 pooled
-    over all orders ('pooled'). ``folded`` is (fold, order_id, products)."""
-    per_fold = order_f1(truth, folded, "fold").groupBy("fold").agg(
+    over all orders ('pooled'). ``folded`` is (fold, order_id, products); with
+    the columns ``by`` in it, all of this for each of their values."""
+    keys = list(by)
+    per_fold = order_f1(truth, folded, *keys, "fold").groupBy(*keys, "fold").agg(
         F.sum("f1").alias("_sum"), F.count(F.lit(1)).alias("_n")
     )
     by_fold = per_fold.select(
-        F.col("fold").cast("string").alias("fold"), (F.col("_sum") / F.col("_n")).alias("f1")
+        *keys, F.col("fold").cast("string").alias("fold"), (F.col("_sum") / F.col("_n")).alias("f1")
     )
-    overall = per_fold.agg(
+    overall = per_fold.groupBy(*keys).agg(
         F.avg(F.col("_sum") / F.col("_n")).alias("mean"),
         (F.sum("_sum") / F.sum("_n")).alias("pooled"),
-    ).unpivot([], ["mean", "pooled"], "fold", "f1")
+    ).unpivot(keys, ["mean", "pooled"], "fold", "f1")
     return by_fold.unionByName(overall)
 
 

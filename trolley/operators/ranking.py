@@ -7,12 +7,10 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..sources.store import Store
 
 ORDERS_PER_BLOCK = 1 << 15
-VALUES_PER_GROUP = 1 << 20
 
 
 def position_in_group(
@@ -91,11 +89,6 @@ def _sum_before(column: str, along) -> Column:
     return F.coalesce(F.sum(column).over(ahead), F.lit(0))
 
 
-def order_blocks(width: int = ORDERS_PER_BLOCK) -> dict[str, Column]:
-    """Blocks of ``width`` order numbers: no user's lines are sorted at once."""
-    return {"_block": F.floor(F.col("order_number") / F.lit(width))}
-
-
 def range_blocks(df: DataFrame, order_by: Sequence[str], store) -> DataFrame:
     """``df`` with ``_block``, the range partition of each row by ``order_by``.
 
@@ -108,33 +101,18 @@ def range_blocks(df: DataFrame, order_by: Sequence[str], store) -> DataFrame:
     return store.put(ranged.withColumn("_block", F.spark_partition_id()), "ranged")
 
 
-def _few_values(
-    df: DataFrame, counted: DataFrame, keys: Sequence[str], column: str, most: int
-) -> bool:
-    """Whether no group has more than ``most`` distinct values: certain for an
-    integer column of a narrow range, counted otherwise."""
-    if isinstance(df.schema[column].dataType, T.IntegralType):
-        low, high = df.agg(F.min(column), F.max(column)).first()
-        if low is None or high - low < most:
-            return True
-    sizes = counted.groupBy(*keys).agg(F.count(F.lit(1)).alias("_values"))
-    return sizes.filter(F.col("_values") > most).isEmpty()
-
-
 def group_quantiles(
     df: DataFrame,
     keys: Sequence[str],
     column: str,
     probs: Sequence[float],
-    largest_group: int = VALUES_PER_GROUP,
 ) -> DataFrame:
     """Exact quantiles per group, interpolated linearly: ``keys``, ``count``,
     ``mean`` and the array ``quantiles``. NULL values are skipped.
 
-    Values are counted per (group, value) first. Groups of up to
-    ``largest_group`` distinct values then aggregate in one task each; where a
-    group has more, the counted values are cut into even ranges, and the
-    wanted order statistics are found from running totals over the ranges.
+    Values are counted per (group, value) first. The counted values are cut into
+    even ranges, and the wanted order statistics are found from running totals
+    over the ranges: a group of any size is as many tasks as it fills ranges.
     """
     counted = (
         df.filter(F.col(column).isNotNull())
@@ -142,13 +120,6 @@ def group_quantiles(
         .agg(F.count(F.lit(1)).alias("_n"))
     )
     mean = (F.sum(F.col("_v") * F.col("_n")) / F.sum("_n")).alias("mean")
-    if _few_values(df, counted, keys, column, largest_group):
-        return counted.groupBy(*keys).agg(
-            F.sum("_n").alias("count"),
-            mean,
-            F.percentile("_v", list(probs), F.col("_n")).alias("quantiles"),
-        )
-
     ranged = range_blocks(counted, [*keys, "_v"], Store(df.sparkSession))
     totals = ranged.groupBy(*keys, "_block").agg(F.sum("_n").alias("_in_block"))
     across = Window.partitionBy(*keys).orderBy("_block")
@@ -160,7 +131,7 @@ def group_quantiles(
         .join(totals.drop("_in_block"), [*keys, "_block"])
         .select(*keys, "_v", "_n", from_rank.alias("_from"))
     )
-    overall = counted.groupBy(*keys).agg(F.sum("_n").alias("count"), mean)
+    overall = ranged.groupBy(*keys).agg(F.sum("_n").alias("count"), mean)
     ranks = [(F.col("count") - 1) * F.lit(float(p)) for p in probs]
     # the value at 0-based rank r is the run with _from <= r < _from + _n
     reached = runs.join(overall, list(keys))

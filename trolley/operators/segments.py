@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import PCA, PCAModel, StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.store import Store
+from .encode import label_codes
 from .joins import Tables
 from .ranking import share
 
@@ -36,59 +38,113 @@ def user_aisle_counts(tables: Tables, lines: DataFrame | None = None) -> DataFra
     )
 
 
-def bought_aisles(tables: Tables) -> list[str]:
-    """Names of the aisles with prior lines, sorted: one per column of the
-    crosstab, whose covariance the component analysis holds on the driver."""
-    sold = (
-        tables["prior"]
-        .select("product_id")
-        .distinct()
-        .join(tables["products"], "product_id")
-        .join(tables["aisles"], "aisle_id")
-        .select("aisle")
-        .distinct()
-        .orderBy("aisle")
-    )
-    return [r["aisle"] for r in sold.collect()]
+def aisle_codes(counts: DataFrame, store: Store | None = None) -> DataFrame:
+    """(aisle, code) of the aisles in ``counts``, 0..k-1 in order of their names."""
+    store = store or Store(counts.sparkSession)
+    return store.put(label_codes(counts, "aisle", store), "aisle_codes")
 
 
-def user_aisle_crosstab(counts: DataFrame, aisles: Sequence[str]) -> DataFrame:
-    """One row per user, one column per aisle, 0 where nothing was bought."""
-    return (
-        counts.groupBy("user_id").pivot("aisle", list(aisles)).agg(F.sum("n")).fillna(0)
-    )
+def sparse_table(counts: DataFrame, codes: DataFrame) -> DataFrame:
+    """(user_id, cells): the contingency table by row, ``cells`` the (code, n) of
+    the aisles that a user bought from, in order of their code. A row is as long as
+    its user has aisles; the zeros are not written down."""
+    cells = F.array_sort(F.collect_list(F.struct("code", "n")))
+    return counts.join(codes, "aisle").groupBy("user_id").agg(cells.alias("cells"))
 
 
-def crosstab_long(crosstab: DataFrame) -> DataFrame:
+def user_aisle_crosstab(counts: DataFrame, store: Store | None = None) -> DataFrame:
     """The contingency table as (user_id, aisle, n) rows, zeros included."""
-    aisles = [c for c in crosstab.columns if c != "user_id"]
-    return crosstab.unpivot(
-        ["user_id"], [F.col(f"`{a}`") for a in aisles], "aisle", "n"
+    codes = aisle_codes(counts, store)
+    size = codes.agg(F.count("*").cast("int")).scalar()
+    rows = sparse_table(counts, codes)
+    known = F.map_from_entries("cells").alias("known")
+    grid = rows.select("user_id", known, F.explode(F.sequence(F.lit(0), size - 1)).alias("code"))
+    cells = grid.select("user_id", "code", F.coalesce(F.col("known")[F.col("code")], F.lit(0)).alias("n"))
+    return cells.join(codes, "code").select("user_id", "aisle", "n")
+
+
+def co_occurrence(rows: DataFrame) -> DataFrame:
+    """(i, j, total): for every two aisles with common users, i <= j, the sum
+    over the users of the product of their counts. Products are added up where a
+    user's row is read; what is shuffled has the size of the squared number of aisles."""
+    left = rows.select("cells", F.explode("cells").alias("a"))
+    right = left.select("a", F.explode(F.filter("cells", lambda c: c["code"] >= F.col("a.code"))).alias("b"))
+    product = F.col("a.n").cast("double") * F.col("b.n")
+    return right.groupBy(F.col("a.code").alias("i"), F.col("b.code").alias("j")).agg(F.sum(product).alias("total"))
+
+
+@dataclass
+class Components:
+    """``pc``: loadings, one row per aisle code, one column per component.
+    ``explainedVariance``: each component's share of the total variance."""
+
+    pc: np.ndarray
+    explainedVariance: np.ndarray
+    means: np.ndarray
+    codes: DataFrame
+
+
+def leading_vectors(
+    matrix: np.ndarray, k: int, spare: int = 8, tolerance: float = 1e-11, most: int = 100_000
+) -> tuple[np.ndarray, np.ndarray]:
+    """The ``k`` largest eigenvalues of a symmetric matrix without negative ones,
+    and their vectors, by block power iteration: a block of ``k`` + ``spare`` vectors is
+    multiplied and made orthonormal until the wanted ones stay in their place."""
+    width = min(k + spare, len(matrix))
+    block = np.linalg.qr(np.random.default_rng(0).normal(size=(len(matrix), width)))[0]
+    scale = max(float(np.trace(matrix)), 1e-300)
+    for _ in range(most):
+        image = matrix @ block
+        values, turn = np.linalg.eigh(block.T @ image)  # of the block's few vectors
+        order = np.argsort(values)[::-1]
+        values, vectors = values[order], block @ turn[:, order]
+        off = image @ turn[:, order] - vectors * values
+        if np.linalg.norm(off[:, :k], axis=0).max(initial=0.0) <= tolerance * scale:
+            return values[:k], vectors[:, :k]
+        block = np.linalg.qr(image)[0]
+    raise RuntimeError(f"the leading components did not settle in {most} rounds")
+
+
+def user_pca(counts: DataFrame, k: int = 6, store: Store | None = None) -> tuple[DataFrame, Components]:
+    """(user_id, pc): the first ``k`` principal components of the users' centred
+    counts per aisle. Components are defined up to sign; each is turned so that its
+    loading of greatest magnitude is positive.
+
+    ``counts`` is (user_id, aisle, n). No dense table is made: the covariance comes
+    from the aisles' co-occurrence, whose sums alone reach the driver (the
+    squared number of aisles, a catalogue's size), and a user's scores are
+    sums over the aisles they bought from, less those of the mean."""
+    store = store or Store(counts.sparkSession)
+    codes = aisle_codes(counts, store)
+    rows = store.put(sparse_table(counts, codes), "sparse_rows")
+    size, users = codes.count(), rows.count()
+    if not users:
+        return rows.select("user_id", F.array().cast("array<double>").alias("pc")), Components(
+            np.zeros((0, 0)), np.zeros(0), np.zeros(0), codes
+        )
+    products = np.zeros((size, size))
+    for r in co_occurrence(rows).collect():
+        products[r["i"], r["j"]] = products[r["j"], r["i"]] = r["total"]
+    sums = rows.select(F.explode("cells").alias("c")).groupBy("c.code").agg(F.sum("c.n").alias("total"))
+    means = np.zeros(size)
+    for r in sums.collect():
+        means[r["code"]] = r["total"] / users
+    covariance = (products - users * np.outer(means, means)) / max(users - 1, 1)
+    values, loadings = leading_vectors(covariance, min(k, size))
+    loadings = loadings * np.where(loadings[np.abs(loadings).argmax(axis=0), range(loadings.shape[1])] >= 0, 1.0, -1.0)
+    total = np.trace(covariance)
+    found = Components(loadings, values / total if total > 0 else values, means, codes)
+
+    weights = counts.sparkSession.createDataFrame(
+        [(i, row.tolist()) for i, row in enumerate(loadings)], "code int, weights array<double>"
     )
-
-
-def user_pca(crosstab: DataFrame, k: int = 6) -> tuple[DataFrame, PCAModel]:
-    """(user_id, pc): the first ``k`` principal components of the centred
-    counts. Components are defined up to sign; each is turned so that its
-    loading of greatest magnitude is positive."""
-    aisles = [c for c in crosstab.columns if c != "user_id"]
-    # VectorAssembler takes names, which may hold any character: go positional
-    plain = crosstab.toDF(
-        *["user_id" if c == "user_id" else f"a{i}" for i, c in enumerate(crosstab.columns)]
-    )
-    counts = VectorAssembler(
-        inputCols=[c for c in plain.columns if c != "user_id"], outputCol="_counts"
-    ).transform(plain)
-    scaler = StandardScaler(
-        withMean=True, withStd=False, inputCol="_counts", outputCol="_centred"
-    ).fit(counts)
-    centred = scaler.transform(counts)
-    model = PCA(k=min(k, len(aisles)), inputCol="_centred", outputCol="_pc").fit(centred)
-    loadings = model.pc.toArray()  # aisles x k
-    turn = [1.0 if max(col, key=abs) >= 0 else -1.0 for col in loadings.T]
-    scores = vector_to_array("_pc")
-    turned = F.array(*[scores[i] * F.lit(s) for i, s in enumerate(turn)])
-    return model.transform(centred).select("user_id", turned.alias("pc")), model
+    each = rows.select("user_id", F.explode("cells").alias("c")).select("user_id", "c.code", "c.n").join(weights, "code")
+    away = (means @ loadings).tolist()
+    parts = [F.sum(F.col("n") * F.col("weights")[i]).alias(f"_{i}") for i in range(len(away))]
+    scores = each.groupBy("user_id").agg(*parts)
+    return scores.select(
+        "user_id", F.array(*[F.col(f"_{i}") - F.lit(a) for i, a in enumerate(away)]).alias("pc")
+    ), found
 
 
 def pca_pair(scores: DataFrame, first: int = 4, second: int = 1) -> DataFrame:

@@ -8,50 +8,58 @@ over the order lines and no distinct count is needed.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schema
 from ..functions.columns import ratio
 from ..operators.encode import encode_labels
 from ..operators.joins import Tables, label_join, prior_detail
-from ..operators.ranking import ORDERS_PER_BLOCK, order_blocks, position_in_group
 
 
-def purchase_ordinal(tables: Tables, width: int = ORDERS_PER_BLOCK) -> DataFrame:
+WORD = 32  # order numbers in one word of a pair's bitmap
+
+
+def _by_word(lines: DataFrame, width: int, *aggregates: Column) -> DataFrame:
+    """Aggregates per (user, product) and run of ``width`` order numbers, all rows
+    of a pair in one partition: what follows per pair shuffles nothing."""
+    word = F.floor(F.col("order_number") / F.lit(width)).alias("_word")
+    return lines.repartition(*schema.PAIR_KEYS).groupBy(*schema.PAIR_KEYS, word).agg(*aggregates)
+
+
+def purchase_ordinal(tables: Tables, width: int = WORD) -> DataFrame:
     """Prior lines with ``_user_buy_product_times``: the how-manieth purchase
-    of this product by this user, in order_number order."""
+    of this product by this user, in order_number order. That is a line's place
+    among the ``width`` order numbers of its word, after the lines of the pair's
+    earlier words."""
     detail = prior_detail(tables).select(
         "user_id", "product_id", "order_id", "order_number"
     )
-    return position_in_group(
-        detail,
-        schema.PAIR_KEYS,
-        ["order_number"],
-        order_blocks(width),
-        position="_user_buy_product_times",
+    listed = F.array_sort(F.collect_list(F.struct("order_number", "order_id"))).alias("_orders")
+    words = _by_word(detail, width, listed)
+    ahead = Window.partitionBy(*schema.PAIR_KEYS).orderBy("_word").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum(F.size("_orders")).over(ahead), F.lit(0)).alias("_before")
+    places = words.select(*schema.PAIR_KEYS, "_orders", before).select(
+        *schema.PAIR_KEYS, "_before", F.posexplode("_orders").alias("_at", "_line")
+    )
+    return places.select(
+        *schema.PAIR_KEYS,
+        "_line.order_id",
+        "_line.order_number",
+        (F.col("_before") + F.col("_at") + 1).cast("bigint").alias("_user_buy_product_times"),
     )
 
 
-def order_streaks(tables: Tables, width: int = ORDERS_PER_BLOCK) -> DataFrame:
+def order_streaks(tables: Tables, width: int = WORD) -> DataFrame:
     """Length of the unbroken run of a user's most recent prior orders that
-    contain the product; 0 when the last prior order lacks it."""
+    contain the product; 0 when the last prior order lacks it. A pair's order
+    numbers are bits of words of ``width``, the latest lowest: the streak are the
+    trailing ones from the user's last order on, through as many words as are full."""
     bought = prior_detail(tables).select("user_id", "product_id", "order_number")
-    placed = position_in_group(
-        bought,
-        schema.PAIR_KEYS,
-        ["order_number"],
-        order_blocks(width),
-        descending=True,
-        position="_back",
-    )
-    # counting back, order_number + position is constant along a run and the
-    # newest run has the largest value: its newest order number + 1
-    runs = placed.groupBy(
-        *schema.PAIR_KEYS, (F.col("order_number") + F.col("_back")).alias("_run")
-    ).agg(F.count(F.lit(1)).alias("_length"))
-    newest = runs.groupBy(*schema.PAIR_KEYS).agg(
-        F.max(F.struct("_run", "_length")).alias("_newest")
+    bit = F.expr(f"shiftleft(1L, {width - 1} - order_number % {width})")
+    words = _by_word(bought, width, F.bit_or(bit).alias("_bits"))
+    pairs = words.groupBy(*schema.PAIR_KEYS).agg(
+        F.sort_array(F.collect_list(F.struct("_word", "_bits")), asc=False).alias("_words")
     )
     last = (
         tables["orders"]
@@ -59,13 +67,23 @@ def order_streaks(tables: Tables, width: int = ORDERS_PER_BLOCK) -> DataFrame:
         .groupBy("user_id")
         .agg(F.max("order_number").alias("_last"))
     )
-    current = F.col("_newest._run") == F.col("_last") + 1
-    return newest.join(last, "user_id").select(
-        *schema.PAIR_KEYS,
-        F.when(current, F.col("_newest._length"))
-        .otherwise(0)
-        .cast("int")
-        .alias("order_streak"),
+
+    def state(word: Column, top: Column, n: Column, more: Column) -> Column:
+        return F.struct(
+            word.cast("long").alias("word"), top.cast("int").alias("top"), n.cast("int").alias("n"), more.alias("more")
+        )
+
+    def step(s: Column, x: Column) -> Column:
+        seen = F.call_function("shiftrightunsigned", x["_bits"], F.lit(width - 1) - s["top"])
+        ones = F.bit_count(seen.bitwiseAND(F.bitwise_not(seen + 1)))
+        on = state(s["word"] - 1, F.lit(width - 1), s["n"] + ones, ones == s["top"] + 1)
+        return F.when(s["more"] & (x["_word"] == s["word"]), on).otherwise(
+            state(s["word"], s["top"], s["n"], F.lit(False))
+        )
+
+    start = state(F.floor(F.col("_last") / width), F.col("_last") % width, F.lit(0), F.lit(True))
+    return pairs.join(last, "user_id").select(
+        *schema.PAIR_KEYS, F.aggregate("_words", start, step)["n"].alias("order_streak")
     )
 
 

@@ -8,17 +8,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import schema
 from .functions.columns import flag_above
+from .functions.stats import GroupFunction
 from .operators import (
     decode,
     encode,
     groups,
     joins,
     learn,
+    linear,
     matrix_ops,
     metrics,
     ranking,
@@ -242,6 +245,24 @@ def group_stats_multi(ws):
     )
 
 
+SECOND_LARGEST = GroupFunction(
+    "second_largest",
+    partial=lambda v: np.sort(np.append(v, [-np.inf, -np.inf]))[-2:],
+    merge=lambda states: np.sort(states.ravel())[-2:],
+    finish=lambda two: two[0] if np.isfinite(two[0]) else two[1],
+)
+
+
+@_query
+def group_stats_own_function(ws):
+    """A function of the caller beside built-in ones."""
+    return groups.group_stats_multi(
+        joins.prior_detail(ws.tables),
+        ["user_id"],
+        {"add_to_cart_order": {"n_lines": "count", "last_place": "max", "last_but_one": SECOND_LARGEST}},
+    )
+
+
 @_query
 def group_stats_multi_joined(ws):
     return groups.group_stats_multi(
@@ -319,11 +340,14 @@ def narrow_ints(ws):
 
 @_query
 def narrow_matrix(ws):
-    """The narrowed integer columns of the matrix, widened again for comparison."""
+    """The narrowed integer columns of the matrix, widened again for comparison,
+    and beside them the types they had."""
     whole = ws.matrix.select(*schema.MATRIX)
     narrowed = encode.narrow_ints(whole)[0]
+    fields = [f for f in narrowed.schema if isinstance(f.dataType, encode.INTEGERS)]
+    types = ",".join(sorted(f"{f.name}:{f.dataType.simpleString()}" for f in fields))
     return narrowed.select(
-        *[F.col(f.name).cast(whole.schema[f.name].dataType) for f in narrowed.schema if isinstance(f.dataType, encode.INTEGERS)]
+        *[F.col(f.name).cast(whole.schema[f.name].dataType) for f in fields], F.lit(types).alias("types")
     )
 
 
@@ -448,7 +472,7 @@ def user_aisle_counts(ws):
 
 @_query
 def user_aisle_crosstab(ws):
-    return segments.crosstab_long(ws.crosstab)
+    return segments.user_aisle_crosstab(ws.aisle_counts, ws.store)
 
 
 def _profile(ws):
@@ -478,7 +502,27 @@ def cluster_share(ws):
 
 @_query
 def user_pca(ws):
-    return segments.user_pca(ws.crosstab)[0]
+    return segments.user_pca(ws.aisle_counts, store=ws.store)[0]
+
+
+@_query
+def aisle_co_occurrence(ws):
+    """Sums over the users of the products of their counts in two aisles."""
+    codes = segments.aisle_codes(ws.aisle_counts, ws.store)
+    found = segments.co_occurrence(segments.sparse_table(ws.aisle_counts, codes))
+    for side in ("i", "j"):
+        found = found.join(codes.select(F.col("code").alias(side), F.col("aisle").alias(f"aisle_{side}")), side)
+    return found.select("aisle_i", "aisle_j", "total")
+
+
+@_query
+def pca_variance(ws):
+    """What holds of all components: their variances add up to the variance of the
+    counts."""
+    scores = segments.user_pca(ws.aisle_counts, k=10_000, store=ws.store)[0]
+    spread = scores.select("user_id", F.posexplode("pc").alias("component", "score")).groupBy("component")
+    each = spread.agg(F.var_samp("score").alias("variance"))
+    return each.agg(F.count("*").alias("n_components"), F.round(F.sum("variance"), 6).alias("total_variance"))
 
 
 @_query
@@ -527,7 +571,7 @@ def gbt_train(ws):
 @_query
 def gbt_categorical_lists(ws):
     """Lists of every test order from the categorical model."""
-    scored = learn.gbt_categorical(ws.train, ws.test, validate=False)[1]
+    scored = learn.gbt_categorical(ws.train, ws.test, validate=False, ledger=ws.ledger)[1]
     return decode.complete_lists(scored, LIMIT)
 
 
@@ -556,23 +600,28 @@ def feature_importance(ws):
 
 @_query
 def gbt_cv_f1(ws):
-    return learn.gbt_cv_f1(ws.train, ws.truth, ws.store)
+    return learn.gbt_cv_f1(ws.train, ws.truth, ws.store, ledger=ws.ledger)
+
+
+@_query
+def gbt_round_sweep(ws):
+    return learn.gbt_round_sweep(ws.train, ws.truth, ws.store, ledger=ws.ledger)
 
 
 @_query
 def gbt_rounds(ws):
-    return learn.gbt_rounds(ws.vectors, **learn.SEARCH)[1]
+    return learn.gbt_rounds(ws.vectors, **learn.SEARCH, ledger=ws.ledger)[1]
 
 
 @_query
 def gbt_categorical(ws):
     seen, held = matrix_ops.split_rows(ws.train, ["user_id"])
-    return learn.gbt_categorical(seen, held)[1]
+    return learn.gbt_categorical(seen, held, ledger=ws.ledger)[1]
 
 
 @_query
 def gbt_categorical_cv_f1(ws):
-    return learn.gbt_cv_f1(ws.train, ws.truth, ws.store, categorical=["aisle_id"])
+    return learn.gbt_cv_f1(ws.train, ws.truth, ws.store, categorical=["aisle_id"], ledger=ws.ledger)
 
 
 @_query
@@ -580,6 +629,29 @@ def ridge_grid(ws):
     return learn.ridge_grid(ws.vectors)[1]
 
 
+@_query
+def ridge_grid_f1(ws):
+    """The grid judged by the mean F1 of the decoded lists."""
+    return learn.ridge_grid(ws.vectors, truth=ws.truth)[1]
+
+
+@_query
+def product_sums(ws):
+    """Sums of products of whole-numbered columns per fold of users."""
+    columns = ["_up_order_count", "_up_first_order_number", "_user_total_orders", "_prod_tot_cnts"]
+    filled = matrix_ops.label_fill(ws.train).select(*schema.PAIR_KEYS, schema.LABEL, *columns)
+    vectors = learn.vectorize(filled, columns, nullable=[])
+    return linear.product_sums(matrix_ops.user_folds(vectors))
+
+
+@_query
+def lasso_errors(ws):
+    """Cross-validated error of each penalty of the lasso."""
+    search = learn.LassoSearch()
+    rows = list(zip(search.penalties, search.errors(ws.vectors)))
+    return ws.spark.createDataFrame(rows, "penalty double, rmse double")
+
+
 def _learners(ws, *names):
     every = learn.base_learners(ws.ridge_unit, ws.trees)
     return {n: every[n] for n in names}
@@ -587,10 +659,14 @@ def _learners(ws, *names):
 
 @_query
 def base_learners(ws):
-    models = _learners(ws, "forest_wide", "boosted", "ridge", "lasso", "elastic")
+    """The test rows scored by every base learner of the first layer."""
+    first = ("boosted_classifier", "forest_deep", "forest_wide", "boosted", "ridge", "lasso", "elastic", "lasso_cv")
+    models = _learners(ws, *first)
+    data = ws.ledger.fingerprint(ws.vectors)
+    fits = [lambda e=e: learn.fitted(e, ws.vectors, ws.ledger, data) for e in models.values()]
     scored = ws.test_vectors
-    for name, estimator in models.items():
-        scored = learn.score_with(estimator.fit(ws.vectors), scored, name)
+    for name, model in zip(models, learn.concurrently(fits)):
+        scored = learn.score_with(model, scored, name)
     return scored.drop(learn.FEATURES)
 
 
@@ -599,7 +675,7 @@ def oof_stack(ws):
     models = _learners(ws, "boosted", "ridge")
     meta = _learners(ws, "ridge")["ridge"]
     return stacking.oof_stack(
-        ws.vectors, ws.test_vectors, models, meta, ws.store, with_original=False
+        ws.vectors, ws.test_vectors, models, meta, ws.store, with_original=False, ledger=ws.ledger
     ).test
 
 
@@ -608,7 +684,7 @@ def oof_stack_scores(ws):
     models = _learners(ws, "ridge", "lasso", "lasso_cv")
     meta = _learners(ws, "ridge")["ridge"]
     return stacking.oof_stack(
-        ws.vectors, ws.test_vectors, models, meta, ws.store
+        ws.vectors, ws.test_vectors, models, meta, ws.store, ledger=ws.ledger
     ).scores
 
 
@@ -617,7 +693,7 @@ def oof_stack_train(ws):
     models = _learners(ws, "ridge", "lasso")
     meta = _learners(ws, "ridge")["ridge"]
     return stacking.oof_stack(
-        ws.vectors, ws.test_vectors, models, meta, ws.store
+        ws.vectors, ws.test_vectors, models, meta, ws.store, ledger=ws.ledger
     ).oof
 
 
@@ -632,10 +708,25 @@ def oof_stack_folds(ws):
 @_query
 def oof_stack_three_levels(ws):
     models = _learners(ws, "ridge", "lasso")
-    second = {"second_boosted": _learners(ws, "boosted")["boosted"]}
+    extra = _learners(ws, "boosted", "forest_second")
+    second = {"second_boosted": extra["boosted"], "second_forest": extra["forest_second"]}
     meta = _learners(ws, "ridge")["ridge"]
     return stacking.oof_stack(
-        ws.vectors, ws.test_vectors, models, meta, ws.store, second=second
+        ws.vectors, ws.test_vectors, models, meta, ws.store, second=second, ledger=ws.ledger
+    ).test
+
+
+@_query
+def oof_stack_grid(ws):
+    """Stack whose meta-model is a ridge regression with the penalty of the largest
+    mean order F1."""
+    models = _learners(ws, "boosted_classifier", "ridge", "lasso")
+
+    def meta(vectors):
+        return learn.ridge_grid(vectors, truth=ws.truth)[0]
+
+    return stacking.oof_stack(
+        ws.vectors, ws.test_vectors, models, meta, ws.store, with_original=False, ledger=ws.ledger
     ).test
 
 
@@ -649,8 +740,8 @@ def oof_stack_extra(ws):
         return vectors.join(pair, "user_id", "left").fillna(0.0, ["taste"])
 
     def meta(vectors):
-        rounds, _ = learn.gbt_rounds(vectors, **learn.SEARCH)
-        return learn.gbt_train(vectors, {"maxIter": rounds})
+        rounds, _ = learn.gbt_rounds(vectors, **learn.SEARCH, ledger=ws.ledger)
+        return learn.gbt_train(vectors, {"maxIter": rounds}, ws.ledger)
 
     models = _learners(ws, "ridge", "lasso")
     return stacking.oof_stack(
@@ -660,6 +751,7 @@ def oof_stack_extra(ws):
         meta,
         ws.store,
         extra_cols=["taste"],
+        ledger=ws.ledger,
     ).test
 
 

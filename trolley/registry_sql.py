@@ -165,6 +165,16 @@ ranked AS (
   FROM profile)
 """
 
+WIDE = """,
+row_values AS (
+  SELECT user_id, product_id, CAST(user_id % 4 AS INT) AS fold,
+         [1, _up_order_count, _up_first_order_number, _user_total_orders, _prod_tot_cnts, coalesce(reordered, 0)] AS v
+  FROM matrix WHERE eval_set = 'train'),
+wide_row AS (
+  SELECT (user_id, product_id) AS row_id, fold, CAST(unnest(range(6)) AS INT) AS i, CAST(unnest(v) AS DOUBLE) AS v
+  FROM row_values)
+"""
+
 HABIT = """,
 order_mean AS (
   SELECT o.order_id, m.m, m.n, o.user_id, o.eval_set, o.order_number, o.order_dow,
@@ -452,6 +462,10 @@ SELECT user_id, max(order_number) AS last_order, min(order_number) AS first_orde
        count(*) FILTER (WHERE reordered = 0) AS n_new, avg(add_to_cart_order) AS mean_position,
        median(add_to_cart_order) AS median_position
 FROM pod GROUP BY user_id
+-- group_stats_own_function
+SELECT user_id, count(add_to_cart_order) AS n_lines, max(add_to_cart_order) AS last_place,
+       CAST(coalesce(list_sort(list(add_to_cart_order))[-2], max(add_to_cart_order)) AS DOUBLE) AS last_but_one
+FROM pod GROUP BY user_id
 -- label_join
 SELECT pair.user_id, pair.product_id, nullif(lab.reordered, 0) AS reordered
 FROM pair LEFT JOIN lab ON lab.user_id = pair.user_id AND lab.product_id = pair.product_id
@@ -543,6 +557,12 @@ _add(
 SELECT * FROM aisle_count
 -- user_aisle_crosstab
 SELECT * FROM grid
+-- aisle_co_occurrence
+SELECT a.aisle AS aisle_i, b.aisle AS aisle_j, sum(CAST(a.n * b.n AS DOUBLE)) AS total
+FROM aisle_count a JOIN aisle_count b ON a.user_id = b.user_id AND a.aisle <= b.aisle GROUP BY a.aisle, b.aisle
+-- pca_variance
+SELECT count(*) AS n_components, round(sum(v), 6) AS total_variance
+FROM (SELECT aisle, var_samp(n) AS v FROM grid GROUP BY aisle) t
 -- cluster_profile
 SELECT * FROM profile
 -- cluster_top_aisles
@@ -582,10 +602,14 @@ _RANGES = "\nUNION ALL ".join(
     f"'{t}' AS source FROM matrix"
     for c, t in _INTS.items()
 )
-SQL["narrow_matrix"] = BASE + FEATURES + f"SELECT {', '.join(_INTS)} FROM matrix"
 _WIDTH = "CASE {} WHEN 'tinyint' THEN 1 WHEN 'smallint' THEN 2 WHEN 'int' THEN 4 ELSE 8 END"
 _add(
     f"""
+-- narrow_matrix
+SELECT {", ".join(_INTS)}, types FROM matrix, (SELECT string_agg("column" || ':' || target, ',' ORDER BY "column") AS types
+FROM (SELECT "column", CASE WHEN min < 0 THEN source WHEN max <= 127 THEN 'tinyint' WHEN max <= 32767 THEN 'smallint'
+                            WHEN max <= 2147483647 THEN 'int' ELSE 'bigint' END AS target
+      FROM ({_RANGES}) r) t) k
 -- narrow_ints
 SELECT "column", min, max, source, target, CAST({_WIDTH.format("source")} AS INT) AS bytes_before,
        CAST({_WIDTH.format("target")} AS INT) AS bytes_after, min >= 0 AS adjusted
@@ -601,6 +625,9 @@ _add(
 -- split_rows
 SELECT user_id, product_id FROM matrix WHERE eval_set = 'train'
   AND CAST('0x' || substr(md5('42|' || user_id || '|' || product_id), 1, 12) AS BIGINT) % 1000000 < 250000
+-- product_sums
+SELECT a.fold, a.i, b.i AS j, sum(a.v * b.v) AS total
+FROM wide_row a JOIN wide_row b ON a.row_id = b.row_id AND a.i <= b.i GROUP BY a.fold, a.i, b.i
 -- gbt_score_range
 SELECT count(*) AS n_scores, count(DISTINCT (user_id, product_id)) AS n_pairs, CAST(0 AS BIGINT) AS n_outside
 FROM matrix WHERE eval_set = 'test'
@@ -609,7 +636,7 @@ SELECT CAST(CAST('0x' || substr(md5('0|' || user_id || '|' || product_id), 1, 12
        count(*) AS n_rows, CAST(0 AS BIGINT) AS n_missing
 FROM matrix WHERE eval_set = 'train' GROUP BY fold
 """,
-    FEATURES,
+    FEATURES + WIDE,
 )
 _add(
     """

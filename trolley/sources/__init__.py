@@ -8,9 +8,10 @@ from .datasets import (
     write_ground_truth,
     write_submission,
 )
-from .store import Store, store_tables
+from .store import Ledger, Store, store_tables
 
 __all__ = [
+    "Ledger",
     "Store",
     "cached",
     "load_dataset",

@@ -9,9 +9,11 @@ library carries a broadcast hint.
 
 from __future__ import annotations
 
+import hashlib
+import json
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -108,6 +110,70 @@ class Store:
         return min(wanted, int(self.spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
 
 
+class Ledger:
+    """Results kept under what they were made from, so that a job that was
+    broken off goes on where it ended, also in another session.
+
+    An entry is written to a folder of its own and counts once its mark is
+    written behind it; half an entry is never read. The folder is that of
+    ``spark.checkpoint.dir`` and has to be cleared by its owner."""
+
+    def __init__(self, spark: SparkSession, root: str | None = None):
+        self.spark = spark
+        self.root = root or f"{scratch_root(spark)}/trolley_ledger"
+
+    def key(self, *parts: object) -> str:
+        return hashlib.sha256(json.dumps(parts, sort_keys=True, default=repr).encode()).hexdigest()[:32]
+
+    def fingerprint(self, df: DataFrame) -> str:
+        """Of the rows, whatever their order and layout."""
+        columns = sorted(df.columns)
+        row = df.select(F.xxhash64(*[F.col(f"`{c}`") for c in columns]).alias("h")).agg(
+            F.count("*"), F.bit_xor("h"), F.bit_xor(F.xxhash64("h", F.lit(1))), F.sum(F.shiftright("h", 24))
+        )
+        return self.key(columns, df.select(*[f"`{c}`" for c in columns]).schema.simpleString(), *row.first())
+
+    def model(self, key: str, fit: Callable[[], object]) -> object:
+        """The saved model of ``key``, or that of ``fit``, which is saved."""
+        from pyspark.ml.util import DefaultParamsReader
+
+        found = self._entry(key)
+        if found:
+            return DefaultParamsReader.loadParamsInstance(found, self.spark)
+        made = fit()
+        self._enter(key, lambda path: made.write().save(path))
+        return made
+
+    def table(self, key: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """The saved table of ``key``, or that of ``build``, which is saved."""
+        found = self._entry(key) or self._enter(key, lambda path: build().write.parquet(path))
+        return self.spark.read.parquet(found)
+
+    def _entry(self, key: str) -> str | None:
+        files, folder = self._files(f"{self.root}/{key}")
+        if not files.exists(folder):
+            return None
+        for entry in files.listStatus(folder):
+            path = entry.getPath().toString()
+            if files.exists(self._path(f"{path}/done")):
+                return f"{path}/result"
+        return None
+
+    def _enter(self, key: str, write: Callable[[str], None]) -> str:
+        entry = f"{self.root}/{key}/{uuid.uuid4().hex[:8]}"
+        write(f"{entry}/result")
+        files, mark = self._files(f"{entry}/done")
+        files.create(mark).close()
+        return f"{entry}/result"
+
+    def _path(self, name: str):
+        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+
+    def _files(self, name: str):
+        path = self._path(name)
+        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
 def store_tables(tables: dict[str, DataFrame], store: Store) -> dict[str, DataFrame]:
     """The source tables as stored columnar tables. Orders and lines are
     bucketed on order_id, so joining and grouping on it reads without a

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from .operators import decode, learn, matrix_ops, segments
 from .plans import features
 from .sources.fixtures import BasketTables
-from .sources.store import Store
+from .sources.store import Ledger, Store
 
 
 class Workspace:
@@ -20,6 +20,7 @@ class Workspace:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.store = Store(spark)
+        self.ledger = Ledger(spark)  # of model fits, which several queries share
         self.tables = BasketTables(spark, sf_dir, self.store)
 
     @cached_property
@@ -58,7 +59,7 @@ class Workspace:
     @cached_property
     def booster(self):
         """The boosted trees of the submission, fitted on the whole train matrix."""
-        return learn.gbt_train(self.vectors)
+        return learn.gbt_train(self.vectors, ledger=self.ledger)
 
     @cached_property
     def test_vectors(self) -> DataFrame:
@@ -72,16 +73,9 @@ class Workspace:
     def aisle_counts(self) -> DataFrame:
         return self.store.put(segments.user_aisle_counts(self.tables), "aisle_counts")
 
-    @cached_property
-    def crosstab(self) -> DataFrame:
-        wide = segments.user_aisle_crosstab(
-            self.aisle_counts, segments.bought_aisles(self.tables)
-        )
-        return self.store.put(wide, "crosstab")
-
     @cached_property
     def components(self) -> DataFrame:
-        return self.store.put(segments.user_pca(self.crosstab)[0], "components")
+        return self.store.put(segments.user_pca(self.aisle_counts, store=self.store)[0], "components")
 
     @cached_property
     def clusters(self) -> DataFrame:
