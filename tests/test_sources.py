@@ -132,6 +132,17 @@ def test_submission_name():
     assert submission_name(0.38, at) == "submission_2020_01_02_03_04_05_0.38.csv"
 
 
+def test_scored_submission_is_found_under_its_name(spark, tmp_path):
+    import datetime as dt
+
+    from trolley.sources import write_scored_submission
+
+    lists = spark.createDataFrame([(2, "5 7"), (1, "None")], "order_id int, products string")
+    path = write_scored_submission(lists, f"{tmp_path}/", 0.38, dt.datetime(2020, 1, 2, 3, 4, 5))
+    assert path == f"{tmp_path}/submission_2020_01_02_03_04_05_0.38.csv"
+    assert [tuple(r) for r in load_order_lists(spark, path).orderBy("order_id").collect()] == [(1, "None"), (2, "5 7")]
+
+
 def test_closed_store_leaves_no_tables(spark):
     store = Store(spark)
     name = store.put_bucketed(spark.range(4), "t", ["id"], 2)

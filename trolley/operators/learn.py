@@ -57,7 +57,7 @@ ROUND_SWEEP = [250, 350, 400, 450, 500]
 THRESHOLD = 0.202
 ROWS_PER_FIT_PARTITION = 1 << 16  # of 32 features: 16 MB of vectors, a quarter binned
 TREE_ROWS_PER_PARTITION = 1 << 22  # of a forest, whose trees all grow in one pass
-CONCURRENT_FITS = 4  # each holds its rows in the executors' memory
+CONCURRENT_FITS = 5  # each holds its rows in the executors' memory
 # The penalties that are tried.
 RIDGE_ALPHAS = [
     1e-3, 5e-3, 1e-2, 5e-2, 1e-1, 0.2, 0.3, 0.4, 0.5, 0.8, 1.0, 3.0, 5.0, 7.0, 10.0,

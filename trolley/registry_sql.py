@@ -524,6 +524,9 @@ FROM f_sample s LEFT JOIN picked p ON p.order_id = s.order_id AND p.eval_set = '
 -- submission_csv
 SELECT s.order_id, coalesce(p.products, 'None') AS products
 FROM f_sample s LEFT JOIN picked p ON p.order_id = s.order_id AND p.eval_set = 'test'
+-- submission_scored_csv
+SELECT s.order_id, coalesce(p.products, 'None') AS products
+FROM f_sample s LEFT JOIN picked p ON p.order_id = s.order_id AND p.eval_set = 'test'
 -- complete_test_lists
 SELECT m.order_id, coalesce(p.products, 'None') AS products
 FROM (SELECT DISTINCT order_id FROM matrix WHERE eval_set = 'test') m LEFT JOIN picked p ON p.order_id = m.order_id

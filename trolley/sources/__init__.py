@@ -6,6 +6,7 @@ from .datasets import (
     save_dataset,
     submission_name,
     write_ground_truth,
+    write_scored_submission,
     write_submission,
 )
 from .store import Ledger, Store, store_tables
@@ -23,5 +24,6 @@ __all__ = [
     "store_tables",
     "submission_name",
     "write_ground_truth",
+    "write_scored_submission",
     "write_submission",
 ]

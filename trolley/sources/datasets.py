@@ -65,6 +65,14 @@ def write_submission(lists: DataFrame, path: str) -> None:
     ).options(**{k: CSV_OPTIONS[k] for k in ("header", "quote", "escape")}).csv(path)
 
 
+def write_scored_submission(lists: DataFrame, folder: str, score: float, at: datetime | None = None) -> str:
+    """:func:`write_submission` under the name that tells its CV score and the time
+    it was made, by default now; returns the path."""
+    path = f"{folder.rstrip('/')}/{submission_name(score, at or datetime.now())}"
+    write_submission(lists, path)
+    return path
+
+
 def write_ground_truth(lists: DataFrame, path: str) -> None:
     write_submission(lists, path)
 
