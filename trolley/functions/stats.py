@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,7 +43,7 @@ class GroupFunction:
         salt, state = T.StructField("_salt", T.IntegerType()), T.StructField("_state", T.ArrayType(T.DoubleType()))
 
         def start(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for at, rows in enumerate(batches):
+            for at, rows in enumerate(batches, TaskContext.get().partitionId()):
                 states = rows.groupby(keys, sort=False)["_value"].agg(lambda v: list(map(float, self.partial(v.to_numpy()))))
                 yield states.rename("_state").reset_index().assign(_salt=at % SALTS)[[*keys, "_salt", "_state"]]
 
