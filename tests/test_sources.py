@@ -202,3 +202,8 @@ def test_scratch_folder_is_named_on_a_cluster():
         scratch_root(Session("yarn"))
     local = Session("local[2]")
     assert scratch_root(local) == scratch_root(local) == local.folder
+
+
+def test_a_bucket_holds_no_more_rows_than_a_task_sorts(spark):
+    rows = 216_000_000
+    assert rows / Store(spark).buckets_for(rows) <= 1 << 20
