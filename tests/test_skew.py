@@ -196,3 +196,32 @@ def test_literal_and_rewritten_product_counts(ws):
     )
     pairs = features.pair_stats(features.prior_detail(ws.tables))
     same(features.product_features(pairs).select(literal.columns), literal)
+
+
+def test_own_functions_meet_small_groups_in_few_calls(spark):
+    """No grouped Python call per group: states are merged as sorted rows stream by."""
+    total = GroupFunction("total", lambda v: [v.sum(), len(v)], lambda s: s.sum(axis=0), lambda s: s[0] / s[1])
+    df = spark.range(60_000).select(
+        (F.col("id") % 20_000).alias("k"), F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("s"), F.col("id").cast("int").alias("v")
+    ).repartition(5)
+    got = total.over_groups(df, ["k", "s"], "v", "m")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapGroupsInPandas" not in plan
+    want = df.groupBy("k", "s").agg(F.avg("v").alias("m"))
+    assert got.count() == 20_000
+    same(got, want)
+
+
+def test_a_group_longer_than_a_batch_is_merged_across_batches(spark, monkeypatch):
+    from trolley.functions import stats
+
+    monkeypatch.setattr(stats, "HELD_NUMBERS", 3)
+    keep = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        top = GroupFunction("top", lambda v: [v.max()], lambda s: s.max(axis=0), lambda s: s[0])
+        got = top.over_groups(hot_rows(spark, 200), ["k"], "at", "top").collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", keep)
+    want = hot_rows(spark, 200).groupBy("k").agg(F.max("at").cast("double").alias("top")).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))

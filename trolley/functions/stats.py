@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SALTS = 64
+HELD_NUMBERS = 1 << 20  # of the states a task holds before it hands them on
 
 
 @dataclass(frozen=True)
@@ -21,10 +20,11 @@ class GroupFunction:
 
     ``partial`` turns some of a group's values into a state, a row of numbers;
     ``merge`` turns several states, one a row, into one; ``finish`` turns the last
-    state into the result. Values become states where they are read, batch by
-    batch, and states are merged in ``SALTS`` parts before they meet, so that no task
-    ever holds a whole group. Missing values are left out; a group without
-    values gets no result."""
+    state into the result. Values become states batch by batch where they are read,
+    and a task merges its states of a group before they are moved. States meet
+    sorted by group and are merged as they stream in: no task ever holds a whole
+    group, and many small groups are one call into Python. Missing values are left
+    out; a group without values gets no result."""
 
     name: str
     partial: Callable[[np.ndarray], Sequence[float]]
@@ -35,31 +35,66 @@ class GroupFunction:
     def __name__(self) -> str:
         return self.name
 
+    def _merged(self, states: Sequence[Sequence[float]]) -> list[float]:
+        return list(map(float, self.merge(np.array(states)))) if len(states) > 1 else states[0]
+
     def over_groups(self, df: DataFrame, keys: Sequence[str], column: str, new: str) -> DataFrame:
         """(keys, new): the result of each group, a double."""
         keys = list(keys)
         given = df.filter(F.col(column).isNotNull()).select(*keys, F.col(column).cast("double").alias("_value"))
         kinds = [given.schema[k] for k in keys]
-        salt, state = T.StructField("_salt", T.IntegerType()), T.StructField("_state", T.ArrayType(T.DoubleType()))
+        state = T.StructField("_state", T.ArrayType(T.DoubleType()))
+
+        def table(found: Mapping[tuple, object], last: str) -> pd.DataFrame:
+            named = {k: list(part) for k, part in zip(keys, zip(*found))}
+            return pd.DataFrame(named | {last: list(found.values())})
 
         def start(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for at, rows in enumerate(batches, TaskContext.get().partitionId()):
-                states = rows.groupby(keys, sort=False)["_value"].agg(lambda v: list(map(float, self.partial(v.to_numpy()))))
-                yield states.rename("_state").reset_index().assign(_salt=at % SALTS)[[*keys, "_salt", "_state"]]
-
-        def merged(rows: pd.DataFrame) -> pd.DataFrame:
-            one = rows.iloc[:1].copy()
-            one["_state"] = [list(map(float, self.merge(np.array(rows["_state"].tolist()))))]
-            return one
-
-        def ended(rows: pd.DataFrame) -> pd.DataFrame:
-            one = rows.iloc[:1][keys].copy()
-            one[new] = float(self.finish(np.asarray(merged(rows)["_state"].iloc[0])))
-            return one
-
-        states = given.mapInPandas(start, T.StructType([*kinds, salt, state]))
-        parts = states.groupBy(*keys, "_salt").applyInPandas(merged, states.schema)
-        return parts.groupBy(*keys).applyInPandas(ended, T.StructType([*kinds, T.StructField(new, T.DoubleType())]))
+            held: dict[tuple, list[list[float]]] = {}
+            size = 0
+            for rows in batches:
+                for key, values in _by_group(rows, keys, "_value"):
+                    one = list(map(float, self.partial(values)))
+                    held.setdefault(key, []).append(one)
+                    size += 1 + len(one)
+                if size > HELD_NUMBERS:
+                    yield table({k: self._merged(v) for k, v in held.items()}, "_state")
+                    held, size = {}, 0
+            if held:
+                yield table({k: self._merged(v) for k, v in held.items()}, "_state")
+
+        def end(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            key, last = None, None  # of the group that may go on in the next batch
+            for rows in batches:
+                done = {}
+                for now, states in _by_group(rows, keys, "_state"):
+                    if last is not None and now == key:
+                        last = self._merged([last, *states])
+                        continue
+                    if last is not None:
+                        done[key] = float(self.finish(np.asarray(last)))
+                    key, last = now, self._merged(list(states))
+                if done:
+                    yield table(done, new)
+            if last is not None:
+                yield table({key: float(self.finish(np.asarray(last)))}, new)
+
+        states = given.mapInPandas(start, T.StructType([*kinds, state]))
+        sorted_states = states.repartition(*keys).sortWithinPartitions(*keys)
+        return sorted_states.mapInPandas(end, T.StructType([*kinds, T.StructField(new, T.DoubleType())]))
+
+
+def _by_group(rows: pd.DataFrame, keys: list[str], column: str) -> Iterator[tuple[tuple, np.ndarray]]:
+    """(key, values) of the groups of a batch, in order of their first row."""
+    rows = rows.dropna(subset=keys)
+    if not len(rows):
+        return
+    number = rows.groupby(keys, sort=False).ngroup().to_numpy()
+    order = np.argsort(number, kind="stable")
+    begins = np.flatnonzero(np.diff(number[order], prepend=-1))
+    heads = rows[keys].iloc[order[begins]]
+    parts = np.split(rows[column].to_numpy()[order], begins[1:])
+    yield from zip(zip(*[heads[k].tolist() for k in keys]), parts)
 
 
 Stat = str | Callable[[Column], Column] | GroupFunction
