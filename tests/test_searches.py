@@ -213,3 +213,20 @@ def test_partitions_of_a_fit_follow_rows_and_trees():
     assert learn.fit_partitions(0) == learn.fit_partitions(1) == 1
     assert learn.fit_partitions(learn.ROWS_PER_FIT_PARTITION + 1) == 2
     assert learn.fit_partitions(30_000, 1000) == 8
+
+
+@pytest.mark.parametrize("keep", [[], ["fold"]])
+def test_lists_of_several_scores_are_those_of_each(spark, keep):
+    from trolley.operators import decode
+
+    rows = [
+        (1, 3, 0, [0.9, 0.1]), (1, 12, 0, [0.8, 0.7]), (1, 3, 0, [0.6, 0.2]), (2, 5, 1, [0.1, 0.2]),
+        (None, 7, 1, [0.9, 0.1]), (3, None, 0, [0.9, 0.9]), (4, 1, 0, [None, float("nan")]),
+    ]
+    scored = spark.createDataFrame(rows, "order_id int, product_id int, fold int, scores array<double>")
+    got = decode.staged_lists(scored, 0.5, 2, keep=keep)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan[plan.index("Aggregate") :]  # a row is grouped once
+    each = scored.select("order_id", "product_id", *keep, F.posexplode("scores").alias("at", "score"))
+    want = decode.complete_lists(each, 0.5, keep=["at", *keep]).select(got.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
