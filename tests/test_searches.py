@@ -215,6 +215,20 @@ def test_partitions_of_a_fit_follow_rows_and_trees():
     assert learn.fit_partitions(30_000, 1000) == 8
 
 
+def test_linear_fits_move_no_rows(ws, monkeypatch, tmp_path):
+    """The sums of a linear fit are the same in any layout; no copy of the rows is dealt out or kept."""
+    vectors = ws.vectors
+
+    def forbidden(*args, **kwargs):
+        raise AssertionError("a linear fit wrote or moved its rows")
+
+    monkeypatch.setattr(learn, "spread", forbidden)
+    monkeypatch.setattr(learn.Store, "put", forbidden)
+    for learner in (LinearRegression(featuresCol="features", labelCol="label", regParam=0.1), learn.LassoSearch()):
+        assert learn.fitted(learner, vectors).numFeatures > 0
+    assert learn.ridge_grid(vectors, [0.5, 1.0], k=2)[1].count() == 2
+
+
 @pytest.mark.parametrize("keep", [[], ["fold"]])
 def test_lists_of_several_scores_are_those_of_each(spark, keep):
     from trolley.operators import decode
