@@ -215,16 +215,20 @@ def test_partitions_of_a_fit_follow_rows_and_trees():
     assert learn.fit_partitions(30_000, 1000) == 8
 
 
-def test_linear_fits_move_no_rows(ws, monkeypatch, tmp_path):
+def test_linear_fits_move_no_rows(ws, monkeypatch):
     """The sums of a linear fit are the same in any layout; no copy of the rows is dealt out or kept."""
     vectors = ws.vectors
 
     def forbidden(*args, **kwargs):
         raise AssertionError("a linear fit wrote or moved its rows")
 
+    plain = LinearRegression(featuresCol="features", labelCol="label", regParam=0.1)
+    few = [learn.fitted(plain, vectors.repartition(n)).coefficients for n in (2, 5)]
+    assert few[0] == few[1]  # one partition's rows are added in one order
+    monkeypatch.setattr(learn, "ROWS_PER_FIT_PARTITION", 16)
     monkeypatch.setattr(learn, "spread", forbidden)
     monkeypatch.setattr(learn.Store, "put", forbidden)
-    for learner in (LinearRegression(featuresCol="features", labelCol="label", regParam=0.1), learn.LassoSearch()):
+    for learner in (plain, learn.LassoSearch()):
         assert learn.fitted(learner, vectors).numFeatures > 0
     assert learn.ridge_grid(vectors, [0.5, 1.0], k=2)[1].count() == 2
 
