@@ -225,6 +225,30 @@ def test_suffix_tree_joined_scores_are_those_of_the_whole_tree(spark, docs):
     assert np.log10(found["chance"].to_numpy()) == pytest.approx(want, abs=1e-9)
 
 
+def test_suffix_tree_first_pass_counts_pairs_without_a_table(spark, monkeypatch):
+    """Pairs of held-out texts are known with no count; a bundle's blocks add up."""
+    from collections import Counter
+
+    from trolley.sources import Store
+
+    def forbidden(*args, **kwargs):
+        raise AssertionError("the first pass built a table of the symbols")
+
+    monkeypatch.setattr(suffix_tree, "_piece", forbidden)
+    monkeypatch.setattr(text.blocks, "__defaults__", (20,))
+    texts = ["Ab ab  abc", "ab \u00e9\u00e9 ab", "", None, "zz held zz", "ab ab ab ab"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    corpus = suffix_tree.pack(rows, F.col("doc_id") == 4, Store(spark), depth=2)
+    grams, tokens, _ = suffix_tree.count_pairs(corpus, Store(spark))
+    want = Counter()
+    for i, x in enumerate(texts):
+        spelt = b"\n\n" + b"".join(w.encode() + b" " for w in (x or "").lower().split()) + b"\n"
+        for at in range(2, len(spelt)):
+            want[int.from_bytes(spelt[at - 2 : at + 1])] += i != 4
+    assert {r.pair: r.n for r in grams.collect()} == dict(want)
+    assert tokens == sum(len((x or "").split()) + 1 for i, x in enumerate(texts) if i != 4)
+
+
 def test_suffix_tree_scores_do_not_depend_on_blocks(docs, monkeypatch):
     one = listed(suffix_tree.report(docs), "doc_id", "n_tokens", "n_known", "score")
     monkeypatch.setattr(text.blocks, "__defaults__", (5_000,))

@@ -28,6 +28,7 @@ Every row gives one row; without training documents the tree is the root alone.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from itertools import batched
 
@@ -245,45 +246,71 @@ class Piece:
     n_symbols: np.ndarray
 
 
-def _piece(data: bytes, n_words: np.ndarray, depth: int) -> Piece:
-    """``data`` holds words, each with a space after it."""
+def _taken(data: bytes, n_words: np.ndarray) -> tuple[pa.LargeBinaryArray, np.ndarray, np.ndarray]:
+    """A block's distinct words, the number of each word among them, and the
+    bytes of each text. ``data`` holds words, each with a space after it."""
     raw = np.frombuffer(data, np.uint8)
     spaces = raw == SPACE
     ends = np.append(0, np.flatnonzero(spaces) + 1)  # of the words with their spaces
     distinct, codes = numbered(binary_array(ends - np.arange(len(ends)), raw[~spaces]))
-    lengths = np.diff(ends[np.append(0, np.cumsum(n_words, dtype=np.int64))])
+    return distinct, codes, np.diff(ends[np.append(0, np.cumsum(n_words, dtype=np.int64))])
+
+
+def _piece(data: bytes, n_words: np.ndarray, depth: int) -> Piece:
+    distinct, codes, lengths = _taken(data, n_words)
     coded = pa.array(spelt(data, lengths, depth)).dictionary_encode()
     return Piece(distinct, codes, coded.dictionary.to_numpy(), coded.indices.to_numpy(), n_words, lengths + 1)
 
 
+def _tallied(pairs: np.ndarray, trains: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct pairs, ascending, and how many of each are marked. Sorted in
+    place with the mark as last bit: a table of them would take six times as long."""
+    pairs <<= 1
+    pairs |= trains
+    pairs.sort()
+    begins = _begins(pairs, 1)
+    distinct = pairs[begins] >> 1
+    pairs &= 1
+    return distinct, np.add.reduceat(pairs, begins)
+
+
+def _begins(ascending: np.ndarray, bits: int = 0) -> np.ndarray:
+    """Where each different value begins, its last ``bits`` aside."""
+    begins = np.ones(len(ascending), bool)
+    begins[1:] = ascending[1:] ^ ascending[:-1] >= 1 << bits
+    return np.flatnonzero(begins)
+
+
 @dataclass
 class Questions:
-    """The distinct words and pairs of a bundle, by shard, and the number among
+    """The distinct words or pairs of a bundle, by shard, and the number among
     them of those of each piece."""
 
-    words: pa.LargeBinaryArray
-    word_homes: np.ndarray
-    word_at: list[np.ndarray]
-    pairs: np.ndarray
-    pair_homes: np.ndarray
-    pair_at: list[np.ndarray]
+    keys: pa.LargeBinaryArray | np.ndarray
+    homes: np.ndarray
+    at: list[np.ndarray]
 
 
-def _questions(pieces: list[Piece], shards: int) -> Questions:
-    distinct, word = numbered(pa.chunked_array([p.words for p in pieces]).combine_chunks())
+def _word_questions(words: list[pa.LargeBinaryArray], shards: int) -> Questions:
+    distinct, word = numbered(pa.chunked_array(words).combine_chunks())
     homes = np.fromiter((xxhash.xxh32_intdigest(x) for x in distinct.to_pylist()), np.uint32, len(distinct)) % shards
     order = pc.sort_indices(pa.table({"shard": homes, "word": distinct}), [("shard", "ascending"), ("word", "ascending")]).to_numpy()
+    at = np.split(_places(order)[word], np.cumsum([len(w) for w in words])[:-1])
+    return Questions(distinct.take(pa.array(order)), homes[order], at)
+
+
+def _pair_order(pairs: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of ascending pairs by shard, and their shards in it."""
+    homes = (pairs % SPREAD % shards).astype(np.int32)
+    order = np.argsort(homes, kind="stable")
+    return order, homes[order]
+
+
+def _pair_questions(pieces: list[Piece], shards: int) -> Questions:
     pairs, pair = np.unique(np.concatenate([p.pairs for p in pieces]), return_inverse=True)
-    pair_homes = (pairs % SPREAD % shards).astype(np.int32)
-    pair_order = np.argsort(pair_homes, kind="stable")
-    return Questions(
-        distinct.take(pa.array(order)),
-        homes[order],
-        np.split(_places(order)[word], np.cumsum([len(p.words) for p in pieces])[:-1]),
-        pairs[pair_order],
-        pair_homes[pair_order],
-        np.split(_places(pair_order)[pair], np.cumsum([len(p.pairs) for p in pieces])[:-1]),
-    )
+    order, homes = _pair_order(pairs, shards)
+    at = np.split(_places(order)[pair], np.cumsum([len(p.pairs) for p in pieces])[:-1])
+    return Questions(pairs[order], homes, at)
 
 
 def _added(counts: list[np.ndarray], at: list[np.ndarray], size: int) -> np.ndarray:
@@ -312,33 +339,37 @@ def pack(
 
     def cut(batches):
         for number, bundle in zip(block_numbers(), batched(blocks(batches, "text"), BUNDLE)):
-            pieces, texts, counts, seen = [], [], [], []
+            distinct, texts, lines, counts, seen = [], [], [], [], []
             for table in bundle:
                 found = words(table["text"], SOLID, lower=True)
                 texts.append(found.spaced()[0])
-                piece = _piece(texts[-1], np.diff(found.first), depth)
+                lines.append(np.diff(found.first))
+                own, codes, lengths = _taken(texts[-1], lines[-1])
                 trains = ~table["held"].to_numpy().astype(bool)
-                counts.append(np.bincount(piece.codes[np.repeat(trains, piece.n_words)], minlength=len(piece.words)))
-                seen.append(np.bincount(piece.symbols[np.repeat(trains, piece.n_symbols)], minlength=len(piece.pairs)))
-                pieces.append(piece)
-            asked = _questions(pieces, shards)
-            n, n_pairs = _added(counts, asked.word_at, len(asked.words)), _added(seen, asked.pair_at, len(asked.pairs))
+                distinct.append(own)
+                counts.append(np.bincount(codes[np.repeat(trains, lines[-1])], minlength=len(own)))
+                seen.append(_tallied(spelt(texts[-1], lengths, depth), np.repeat(trains, lengths + 1)))
+            asked = _word_questions(distinct, shards)
+            n = _added(counts, asked.at, len(asked.keys))
+            pairs, n_pairs = _summed(*zip(*seen))
+            order, pair_homes = _pair_order(pairs, shards)
+            pairs, n_pairs = pairs[order], n_pairs[order]
             rows = pa.concat_tables(bundle)
             body = freeze(
                 **keys(rows["id"]),
                 held=rows["held"].to_numpy().astype(np.uint8),
-                n_words=[small(p.n_words) for p in pieces],
+                n_words=[small(x) for x in lines],
                 texts=texts,
             )
-            names, begin = dealt(asked.word_homes)
+            names, begin = dealt(asked.homes)
             data = [
-                freeze_words(asked.words.slice(a, b - a), counts=small(n[a:b]))
+                freeze_words(asked.keys.slice(a, b - a), counts=small(n[a:b]))
                 for a, b in zip(begin, np.append(begin[1:], len(n)))
             ]
-            pair_names, begin = dealt(asked.pair_homes)
+            pair_names, begin = dealt(pair_homes)
             # Ascending pairs as their steps.
             data += [
-                freeze(steps=small(np.diff(asked.pairs[a:b], prepend=0)), counts=small(n_pairs[a:b]))
+                freeze(steps=small(np.diff(pairs[a:b], prepend=0)), counts=small(n_pairs[a:b]))
                 for a, b in zip(begin, np.append(begin[1:], len(n_pairs)))
             ]
             shard = [BODY, *names.tolist(), *(pair_names + shards).tolist()]
@@ -392,9 +423,13 @@ def count_pairs(corpus: Corpus, store: Store) -> tuple[DataFrame, int, int]:
     return grams, (sums[0] or 0) + corpus.train_docs, (sums[1] or 0) + (corpus.train_docs > 0)
 
 
-def _summed(pairs: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    distinct, code = np.unique(np.concatenate(pairs), return_inverse=True)
-    return distinct, _added(counts, [code], len(distinct))
+def _summed(pairs: Sequence[np.ndarray], counts: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct pairs, ascending, and the sums of their counts."""
+    every = np.concatenate(pairs)
+    order = np.argsort(every)
+    every = every[order]
+    begins = _begins(every)
+    return every[begins], np.add.reduceat(np.concatenate(counts)[order], begins)
 
 
 def score(corpus: Corpus, found: DataFrame, tokens: int, distinct: int) -> DataFrame:
@@ -437,20 +472,20 @@ def score(corpus: Corpus, found: DataFrame, tokens: int, distinct: int) -> DataF
     def add(table: pa.Table) -> pa.Table:
         _, body, answers = opened(table)
         pieces = [_piece(text, n.astype(np.int64), depth) for text, n in zip(body["texts"], body["n_words"])]
-        asked = _questions(pieces, shards)
+        asked, asked_pairs = _word_questions([p.words for p in pieces], shards), _pair_questions(pieces, shards)
         given = [a["answers"] for a in answers]
-        n = len(np.unique(asked.word_homes))
+        n = len(np.unique(asked.homes))
         counts = np.concatenate(given[:n]) if n else np.zeros(0)
         logs = np.concatenate(given[n:]).astype(np.float64)
-        if len(counts) != len(asked.words) or len(logs) != len(asked.pairs):
+        if len(counts) != len(asked.keys) or len(logs) != len(asked_pairs.keys):
             raise ValueError("answers that do not match their block")
         base = np.log10((counts.astype(np.float64) + 1) / floor)
         total = lambda values, at, codes, sizes: np.bincount(
             np.repeat(np.arange(len(sizes)), sizes), values[at][codes], minlength=len(sizes)
         )
-        known = [total(counts > 0, at, p.codes, p.n_words) for p, at in zip(pieces, asked.word_at)]
-        bases = [total(base, at, p.codes, p.n_words) for p, at in zip(pieces, asked.word_at)]
-        scores = [total(logs, at, p.symbols, p.n_symbols) for p, at in zip(pieces, asked.pair_at)]
+        known = [total(counts > 0, at, p.codes, p.n_words) for p, at in zip(pieces, asked.at)]
+        bases = [total(base, at, p.codes, p.n_words) for p, at in zip(pieces, asked.at)]
+        scores = [total(logs, at, p.symbols, p.n_symbols) for p, at in zip(pieces, asked_pairs.at)]
         return pa.table(
             [
                 key_array(body),
