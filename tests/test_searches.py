@@ -215,6 +215,14 @@ def test_partitions_of_a_fit_follow_rows_and_trees():
     assert learn.fit_partitions(30_000, 1000) == 8
 
 
+def test_partitions_of_a_large_fit_are_full():
+    """A pass over 65,536 rows costs as much to start as to make."""
+    small = learn.ROWS_PER_FIT_PARTITION
+    assert [learn.fit_partitions(n * small) for n in (1, 2, 3, 4, 5, 12, 13)] == [1, 2, 3, 3, 3, 3, 4]
+    assert learn.fit_partitions(3_160_670) == 13
+    assert learn.fit_partitions(100 * learn.ROWS_PER_FULL_FIT_PARTITION) == 100
+
+
 def test_linear_fits_move_no_rows(ws, monkeypatch):
     """The sums of a linear fit are the same in any layout; no copy of the rows is dealt out or kept."""
     vectors = ws.vectors
